@@ -21,10 +21,10 @@ NO_CLIENT = "Unknown"
 _NULL_IN_KEY = "<null>"
 
 
-def surrogate_key(*parts: str | Column) -> Column:
-    """MD5 over the parts as text. Parts that are all missing give one and the same key."""
-    texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit(_NULL_IN_KEY)) for p in parts]
-    return F.md5(F.concat_ws("-", *texts))
+def surrogate_key(*fields: str) -> Column:
+    """MD5 over the fields as text. Fields that are all missing give one and the same key."""
+    texts = (f"coalesce(CAST({field} AS STRING), '{_NULL_IN_KEY}')" for field in fields)
+    return F.expr(f"md5(concat_ws('-', {', '.join(texts)}))")
 
 
 def job_key() -> Column:
@@ -33,7 +33,7 @@ def job_key() -> Column:
 
 def is_error(error_message_key: str) -> Column:
     """Whether a key stands for anything but code and message NONE. Spark folds the constant."""
-    return F.col(error_message_key) != surrogate_key(F.lit(NO_ERROR), F.lit(NO_ERROR))
+    return F.col(error_message_key) != surrogate_key(f"'{NO_ERROR}'", f"'{NO_ERROR}'")
 
 
 def statement_comment(statement: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import SERVICE_SUFFIX
@@ -27,7 +27,7 @@ def _active_days(human: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def _status_changes(active: DataFrame, settings: Settings) -> DataFrame:
-    """Per table and day, by how much the numbers of weekly and monthly users change.
+    """Per table and day, changes of the numbers of weekly and monthly users, to be added up.
 
     An active day counts from that day on and drops out when the window has passed. Two rows per
     active day stand for the window, where a row per user and calendar day would be needed to count
@@ -37,29 +37,26 @@ def _status_changes(active: DataFrame, settings: Settings) -> DataFrame:
     leaves = F.struct(F.date_add("event_date", WINDOW_DAYS).alias("day"), F.lit(-1).alias("step"))
     steps = (
         active.select("table_name", "principal_email", F.explode(F.array(enters, leaves)).alias("s"))
-        .filter(F.col("s.day") <= F.lit(last_day(settings)))
-        .groupBy("table_name", "principal_email", F.col("s.day").alias("event_date"))
-        .agg(F.sum("s.step").alias("step"))
+        .select("table_name", "principal_email", F.col("s.day").alias("event_date"), "s.step")
+        .filter(F.col("event_date") <= F.lit(last_day(settings)))
     )
     history = Window.partitionBy("table_name", "principal_email").orderBy("event_date")
-    days_active = F.sum("step").over(history.rowsBetween(Window.unboundedPreceding, 0))
+    # By range, so that rows of the same day see the same count and only the first is a change.
+    days_active = F.sum("step").over(history.rangeBetween(Window.unboundedPreceding, 0))
     status = steps.select("*", days_active.alias("days_active")).select(
-        "table_name",
-        "principal_email",
-        "event_date",
-        (F.col("days_active") >= WEEKLY_DAYS).cast("bigint").alias("weekly"),
-        F.col("days_active").between(1, WEEKLY_DAYS - 1).cast("bigint").alias("monthly"),
+        "*",
+        (F.col("days_active") >= WEEKLY_DAYS).cast("bigint").alias("is_weekly"),
+        F.col("days_active").between(1, WEEKLY_DAYS - 1).cast("bigint").alias("is_monthly"),
     )
 
-    def change(flag: str):
+    def change(flag: str) -> Column:
         return F.col(flag) - F.lag(flag, 1, 0).over(history)
 
-    return (
-        status.select(
-            "table_name", "event_date", change("weekly").alias("weekly"), change("monthly").alias("monthly")
-        )
-        .groupBy("table_name", "event_date")
-        .agg(F.sum("weekly").alias("weekly"), F.sum("monthly").alias("monthly"))
+    return status.select(
+        "table_name",
+        "event_date",
+        change("is_weekly").alias("weekly"),
+        change("is_monthly").alias("monthly"),
     )
 
 

@@ -6,7 +6,7 @@ that the shuffle carries less and the hashing is done once per distinct row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import (
@@ -21,6 +21,39 @@ from auditlens.functions.columns import (
 from auditlens.settings import Settings
 
 
+# What the tables here and the active users read of the staged log.
+STAGED_COLUMNS = [
+    "grafana_dashboard_id",
+    "grafana_panel_id",
+    "job_id",
+    "event_type",
+    "event_timestamp",
+    "resource_name",
+    "principal_email",
+    "project_id",
+    "caller_ip_address",
+    "caller_supplied_user_agent",
+    "method_name",
+    "error_result_code",
+    "error_result_message",
+    "start_time",
+    "end_time",
+    "total_slot_ms",
+    "total_processed_bytes",
+    "total_billed_bytes",
+    "billing_tier",
+    "referenced_tables",
+    "referenced_views",
+    "output_row_count",
+    "cache_hit",
+    "config_labels",
+    "query_statement",
+    "create_disposition",
+    "query_priority",
+    "statement_type",
+]
+
+
 def dim_job(staged: DataFrame) -> DataFrame:
     """Distinct attributes of jobs, with what the build tool wrote into the statement."""
     info = F.col("info")
@@ -85,6 +118,18 @@ def dim_job_labels(staged: DataFrame) -> DataFrame:
     )
 
 
+def path_columns(path: str) -> dict[str, Column]:
+    """The parts of an object's path; NULL where the path is too short."""
+    parts = F.split(path, "/")
+    project, dataset, name = (F.get(parts, F.lit(i)) for i in (1, 3, 5))
+    return {
+        "project_id": project,
+        "dataset_id": dataset,
+        "table_or_view_id": name,
+        "qualified_table_name": F.concat(project, F.lit("."), dataset, F.lit("."), name),
+    }
+
+
 def dim_references(staged: DataFrame, settings: Settings) -> DataFrame:
     """Tables and views each job read, with the parts of their path and their data layer."""
 
@@ -96,7 +141,6 @@ def dim_references(staged: DataFrame, settings: Settings) -> DataFrame:
 
     # Both lists of a row are unnested together: one scan and one shuffle for tables and views.
     both = F.concat(named("referenced_views", "view"), named("referenced_tables", "table"))
-    parts = F.split("referenced_view_or_table", "/")
     return (
         staged.select("job_id", F.explode(both).alias("object"))
         .select(
@@ -105,21 +149,9 @@ def dim_references(staged: DataFrame, settings: Settings) -> DataFrame:
             F.col("object.object_type").alias("object_type"),
         )
         .distinct()
-        .select(
-            job_key(),
-            "referenced_view_or_table",
-            "object_type",
-            F.get(parts, F.lit(1)).alias("project_id"),
-            F.get(parts, F.lit(3)).alias("dataset_id"),
-            F.get(parts, F.lit(5)).alias("table_or_view_id"),
-        )
-        .select(
-            "*",
-            F.concat(
-                "project_id", F.lit("."), "dataset_id", F.lit("."), "table_or_view_id"
-            ).alias("qualified_table_name"),
-            data_layer("dataset_id", settings).alias("layer_used"),
-        )
+        .select(job_key(), "referenced_view_or_table", "object_type")
+        .withColumns(path_columns("referenced_view_or_table"))
+        .withColumn("layer_used", data_layer("dataset_id", settings))
     )
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error, safe_rate
 from auditlens.operators.dates import first_day, in_calendar, with_days
+from auditlens.operators.marts import path_columns
 from auditlens.operators.scores import OBJECT
-from auditlens.session import settle
 from auditlens.settings import Settings
 
 # Fixed value: days before today that the alerting feed reaches back to.
@@ -283,31 +283,29 @@ def rpt_query_alerting(
     )
 
 
-_OBJECT_COLUMNS = [
-    OBJECT,
-    "project_id",
-    "dataset_id",
-    "table_or_view_id",
-    "qualified_table_name",
-    "layer_used",
+_USE_MEASURES = [
+    "total_queries_run",
+    "dbt_models_run",
+    "dbt_tests_run",
+    "total_human_users",
+    "total_service_accounts",
+    "total_errors",
 ]
 
 
-def rpt_table_usage(
+def client_use(
     facts: DataFrame,
     jobs: DataFrame,
     refs: DataFrame,
     users: DataFrame,
     agents: DataFrame,
-    threat: DataFrame,
-    importance: DataFrame,
     settings: Settings,
     since: dt.date | None = None,
 ) -> DataFrame:
-    """Use of tables and views per day and client type, with the scores of the day.
+    """Use of tables and views per day and client type, on the days they were used.
 
-    A table has a row of zeros without client on each day on which not all its references were
-    executed. `since` reports the days from there on only.
+    `matched` counts the references of the object that were executed on the day; each is counted
+    with one client type.
     """
     executions = (
         _reported(facts, settings, since)
@@ -338,18 +336,13 @@ def rpt_table_usage(
     )
     rows = F.coalesce("job_rows", F.lit(1))
     stands_for_match = F.col("first_of_day") & (F.coalesce("model_number", F.lit(1)) == 1)
+    by_client = ["statement_date", OBJECT, "layer_used", "client_type"]
+    # First down to one row per user and model, where repeated use adds up before the distinct
+    # counts multiply the rows.
     used = (
         executions.join(models, "job_key", "left")
-        .join(refs.select("job_key", *_OBJECT_COLUMNS), "job_key")
-        .groupBy(
-            "statement_date",
-            *_OBJECT_COLUMNS,
-            "client_type",
-            "user_key",
-            "user_type",
-            "dbt_execution_type",
-            "dbt_model_name",
-        )
+        .join(refs.select("job_key", OBJECT, "layer_used"), "job_key")
+        .groupBy(*by_client, "user_key", "user_type", "dbt_execution_type", "dbt_model_name")
         .agg(
             F.sum(F.col("n") * rows).alias("queries"),
             F.sum(F.col("errors") * rows).alias("errors"),
@@ -360,16 +353,8 @@ def rpt_table_usage(
     def distinct_if(condition: Column, column: str) -> Column:
         return F.count_distinct(F.when(condition, F.col(column)))
 
-    measures = [
-        "total_queries_run",
-        "dbt_models_run",
-        "dbt_tests_run",
-        "total_human_users",
-        "total_service_accounts",
-        "total_errors",
-    ]
     kind, user_type = F.col("dbt_execution_type"), F.col("user_type")
-    by_client = used.groupBy("statement_date", *_OBJECT_COLUMNS, "client_type").agg(
+    return used.groupBy(*by_client).agg(
         F.sum("queries").alias("total_queries_run"),
         distinct_if(kind == "DBT_RUN", "dbt_model_name").alias("dbt_models_run"),
         distinct_if(kind == "DBT_TEST", "dbt_model_name").alias("dbt_tests_run"),
@@ -378,53 +363,64 @@ def rpt_table_usage(
         F.sum("errors").alias("total_errors"),
         F.sum("matched").alias("matched"),
     )
-    by_client = settle(by_client, "table-usage")
 
-    matches = by_client.groupBy(OBJECT, "statement_date").agg(
+
+def rpt_table_usage(
+    use: DataFrame,
+    facts: DataFrame,
+    refs: DataFrame,
+    threat: DataFrame,
+    importance: DataFrame,
+    settings: Settings,
+    since: dt.date | None = None,
+) -> DataFrame:
+    """`client_use` with the scores of the day, and the days without use.
+
+    An object has a row of zeros without client on each day on which not all its references were
+    executed. `since` reports the days from there on only. `use` is read twice.
+    """
+    day = [OBJECT, "statement_date"]
+    matches = use.groupBy(*day).agg(
         F.sum("matched").alias("matched"),
         F.bool_or(F.col("client_type").isNull()).alias("has_no_client"),
     )
-    objects = refs.groupBy(*_OBJECT_COLUMNS).agg(F.count("*").alias("references"))
+    objects = refs.groupBy(OBJECT, "layer_used").agg(F.count("*").alias("references"))
     spine = with_days(objects, _report_start(facts, settings, since), settings, "statement_date")
-    unused = spine.join(matches, [OBJECT, "statement_date"], "left").filter(
-        (F.coalesce("matched", F.lit(0)) < F.col("references"))
-        & ~F.coalesce("has_no_client", F.lit(False))
-    )
     zero = F.lit(0).cast("bigint")
-    zeros = unused.select(
-        "statement_date",
-        *_OBJECT_COLUMNS,
-        F.lit(None).cast("string").alias("client_type"),
-        *(zero.alias(m) for m in measures),
+    zeros = (
+        spine.join(matches, day, "left")
+        .filter(
+            (F.coalesce("matched", F.lit(0)) < F.col("references"))
+            & ~F.coalesce("has_no_client", F.lit(False))
+        )
+        .select(
+            *day,
+            "layer_used",
+            F.lit(None).cast("string").alias("client_type"),
+            *(zero.alias(m) for m in _USE_MEASURES),
+        )
+    )
+    importance = importance.select(
+        F.col("table_name").alias(OBJECT),
+        F.col("score_date").alias("statement_date"),
+        "importance_score",
     )
     priority = (
         F.col("importance_score") * settings.priority_importance_weight
         + F.col("threat_score") * settings.priority_threat_weight
     )
     return (
-        by_client.drop("matched")
+        use.drop("matched")
         .unionByName(zeros)
-        .join(
-            threat.select(OBJECT, "statement_date", "threat_score"),
-            [OBJECT, "statement_date"],
-            "left",
-        )
-        .join(
-            importance.select(
-                F.col("table_name").alias(OBJECT),
-                F.col("score_date").alias("statement_date"),
-                "importance_score",
-            ),
-            [OBJECT, "statement_date"],
-            "left",
-        )
+        .join(threat.select(*day, "threat_score"), day, "left")
+        .join(importance, day, "left")
         .select(
             F.col("statement_date").alias("report_date"),
             F.col(OBJECT).alias("table_name"),
-            *_OBJECT_COLUMNS[1:5],
+            *(column.alias(name) for name, column in path_columns(OBJECT).items()),
             F.col("layer_used").alias("layer"),
             "client_type",
-            *measures,
+            *_USE_MEASURES,
             "threat_score",
             "importance_score",
             priority.alias("priority_score"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from auditlens.functions.columns import cost, cost_measure, exact, is_error
 from auditlens.functions.ranks import join_ranks, percent_ranks
 from auditlens.operators.dates import in_calendar
-from auditlens.session import settle
+from auditlens.session import settle, side_by_side
 from auditlens.settings import Settings
 
 # Fixed value: weight of egress from a table outside the prod layer.
@@ -230,7 +230,7 @@ def importance_score(
         .groupBy("job_key")
         .agg(F.count("label_value").alias("invocations"))
     )
-    usage = (
+    per_day = (
         executions.join(invocations, "job_key", "left")
         .join(tables_of(refs).select("job_key", OBJECT), "job_key")
         .groupBy(OBJECT, "statement_date")
@@ -241,8 +241,10 @@ def importance_score(
             F.sum("egress").alias("egress"),
         )
     )
-    usage = settle(usage, "importance-usage")
-    breadth = settle(_breadth(active_users), "importance-breadth")
+    usage, breadth = side_by_side(
+        lambda: settle(per_day, "importance-usage"),
+        lambda: settle(_breadth(active_users), "importance-breadth"),
+    )
 
     daily = usage.groupBy(OBJECT, _calendar_day(settings).alias("date_day")).agg(
         *(F.sum(c).alias(c) for c in ("service", "dbt", "scored", "egress"))

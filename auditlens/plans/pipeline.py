@@ -17,6 +17,7 @@ from auditlens.operators.filters import dev_limit, incremental_lookback
 from auditlens.operators.scores import importance_score, threat_score
 from auditlens.operators.staging import stage_audit_log
 from auditlens.plans.warehouse import Warehouse
+from auditlens.session import settle
 
 # Dimensions: key of the upsert, and columns to cluster by.
 DIMENSIONS = {
@@ -139,8 +140,9 @@ class Build:
             "importance_score",
         )
         since = self.settings.lookback_start if self.incremental else None
+        use = reports.client_use(facts, jobs, refs, users, agents, self.settings, since)
         usage = reports.rpt_table_usage(
-            facts, jobs, refs, users, agents, threat, importance, self.settings, since
+            settle(use, "client-use"), facts, refs, threat, importance, self.settings, since
         )
         self._write_days("rpt_table_usage", usage, "report_date", "table_name")
         alerts = reports.rpt_query_alerting(facts, users, statements, self.settings)

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 FOLDER_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
@@ -41,3 +47,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/auditlens/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*tasks: Callable[[], Result]) -> list[Result]:
+    """Run tasks that each start Spark jobs and do not need each other at the same time."""
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [run.result() for run in runs]
