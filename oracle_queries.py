@@ -741,20 +741,21 @@ def _uses(sql: str, name: str) -> bool:
     return name in words
 
 
-def _query(sql: str) -> str:
+def _query(sql: str, steps: dict[str, str]) -> str:
     """The statement with the steps it needs in front."""
     sql = textwrap.dedent(sql).strip()
     needed: list[str] = []
     text = sql
-    for name in reversed(_STEPS):
+    for name in reversed(steps):
         if _uses(text, name):
             needed.insert(0, name)
-            text += " " + _STEPS[name]
-    steps = ",\n".join(f"{name} AS (\n{_STEPS[name]}\n)" for name in needed)
-    return f"WITH {steps}\n{sql}" if steps else sql
+            text += " " + steps[name]
+    return "WITH " + ",\n".join(f"{name} AS (\n{steps[name]}\n)" for name in needed) + f"\n{sql}"
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(staged: str | None = None) -> dict[str, str]:
+    """SQL by query name. `staged` is SQL for another staged log than that of the given tables."""
+    steps = _STEPS if staged is None else _STEPS | {"staged": staged}
     whole = {
         "dim_job": "job",
         "dim_query_statements": "query_statements",
@@ -783,11 +784,11 @@ def oracle_sql() -> dict[str, str]:
     lists = ", ".join(
         f"array_to_string({c}, ' ') AS {c}" for c in ("referenced_tables", "referenced_views")
     )
-    staged = f"SELECT * REPLACE ({lists}) FROM staged"
+    as_text = f"SELECT * REPLACE ({lists}) FROM staged"
     queries |= {
-        "stage_audit_log": staged,
-        "incremental_lookback": f"{staged} WHERE CAST(event_timestamp AS DATE) >= {AS_OF} - 3",
-        "dev_limit": f"{staged} WHERE CAST(event_timestamp AS DATE) >= {AS_OF} - 10",
+        "stage_audit_log": as_text,
+        "incremental_lookback": f"{as_text} WHERE CAST(event_timestamp AS DATE) >= {AS_OF} - 3",
+        "dev_limit": f"{as_text} WHERE CAST(event_timestamp AS DATE) >= {AS_OF} - 10",
         "upsert_by_key": """
             SELECT * FROM job_earlier AS e
             WHERE NOT EXISTS (SELECT * FROM job_recent AS r WHERE r.job_key = e.job_key
@@ -817,4 +818,4 @@ def oracle_sql() -> dict[str, str]:
         """,
         "check_not_null": "SELECT * FROM agents WHERE caller_supplied_user_agent IS NULL",
     }
-    return {name: _query(sql) for name, sql in queries.items()}
+    return {name: _query(sql, steps) for name, sql in queries.items()}
