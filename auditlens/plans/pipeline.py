@@ -59,22 +59,17 @@ class Build:
     def _tables(self, *names: str) -> list[DataFrame]:
         return [self._table(name) for name in names]
 
-    def _recent(self, df: DataFrame, day: str) -> DataFrame:
-        """In an incremental run the days to replace; other days would be replaced in part."""
-        if not self.incremental:
-            return df
-        days = F.col(day).between(F.lit(self.settings.lookback_start), F.lit(self.settings.as_of))
-        return df.filter(days)
-
     def _write_days(self, name: str, df: DataFrame, day: str, *cluster_by: str) -> None:
-        self.warehouse.write_days(name, self._recent(df, day), day, cluster_by)
+        """The whole table, or in an incremental run the days of the lookback."""
+        days = self.settings.lookback if self.incremental else None
+        self.warehouse.write_days(name, df, day, cluster_by, days)
 
     def _stage(self) -> DataFrame:
         staged = dev_limit(stage_audit_log(self.logs), self.settings)
         if self.incremental:
             staged = incremental_lookback(staged, self.settings)
         staged = staged.withColumn("event_date", F.to_date("event_timestamp"))
-        self.warehouse.write_days("staged", staged, "event_date", ["job_id"])
+        self._write_days("staged", staged, "event_date", "job_id")
         return self._since_lookback(self._table("staged"))
 
     def _since_lookback(self, staged: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from auditlens.settings import Settings
@@ -42,21 +42,48 @@ class Warehouse:
         return self.read(name)
 
     def write_days(
-        self, name: str, df: DataFrame, day: str, cluster_by: Sequence[str] = ()
+        self,
+        name: str,
+        df: DataFrame,
+        day: str,
+        cluster_by: Sequence[str] = (),
+        days: Sequence[dt.date] | None = None,
     ) -> DataFrame:
-        """Replace the day partitions that `df` holds rows for, and keep all other days.
+        """Write a table partitioned by day: all of it, or only the partitions of `days`.
 
-        Rows are spread by ranges of day and cluster columns, so one large day is written by many
-        tasks and each file covers a narrow range.
+        With `days`, rows of other days are not written and other partitions are kept; a partition
+        of `days` without new rows is emptied. Rows are spread by ranges of day and cluster
+        columns, so one large day is written by many tasks and each file covers a narrow range.
         """
+        if days is None:
+            written = _clustered(df, [day, *cluster_by])
+            self._write_partitions(name, written, day, "static")
+        else:
+            recent = _clustered(df.filter(F.col(day).isin(*days)), [day, *cluster_by])
+            seen = Observation()
+            observed = recent.observe(seen, F.collect_set(day).alias("days"))
+            self._write_partitions(name, observed, day, "dynamic")
+            self._drop_days(name, day, set(days) - set(seen.get["days"] or ()))
+        return self.read(name)
+
+    def _write_partitions(self, name: str, df: DataFrame, day: str, mode: str) -> None:
         (
-            _clustered(df, [day, *cluster_by])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", mode)
             .partitionBy(day)
             .parquet(self.path(name))
         )
-        return self.read(name)
+
+    def _drop_days(self, name: str, day: str, days: set[dt.date]) -> None:
+        for gone in days:
+            folder, files = self._folder(f"{self.path(name)}/{day}={gone}")
+            files.delete(folder, True)
+
+    def _folder(self, path: str):
+        """A path and its file system."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
 
     def upsert(
         self, name: str, new: DataFrame, keys: Sequence[str], cluster_by: Sequence[str] = ()
@@ -107,16 +134,14 @@ class Warehouse:
 
     def _latest_snapshot(self, name: str) -> int | None:
         """Number of the last snapshot that was written to its end."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        folder, files = self._folder(self.path(name))
         if not files.exists(folder):
             return None
         done = [
             status.getPath().getName()
             for status in files.listStatus(folder)
             if status.getPath().getName().startswith(_SNAPSHOT)
-            and files.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+            and files.exists(status.getPath().suffix("/_SUCCESS"))
         ]
         return max((int(n.removeprefix(_SNAPSHOT)) for n in done), default=None)
 

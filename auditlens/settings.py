@@ -83,6 +83,11 @@ class Settings:
     def lookback_start(self) -> dt.date:
         return self.as_of - dt.timedelta(days=self.lookback_days)
 
+    @property
+    def lookback(self) -> list[dt.date]:
+        """The days an incremental run replaces: today and those before it, oldest first."""
+        return [self.as_of - dt.timedelta(days=n) for n in range(self.lookback_days, -1, -1)]
+
     @property
     def dev_limit_start(self) -> dt.date | None:
         """First day kept under the development limit, or None where it does not apply."""
