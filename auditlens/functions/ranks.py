@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 _BUCKETS_PER_DOUBLING = 256
 _BUCKET_OF_ONE = 1100 * _BUCKETS_PER_DOUBLING
 
-# Slices that a value shared by many rows is split into when ranks are joined back to rows.
-_SLICES = 16
-
-
 def _bucket(value: Column) -> Column:
     """A bucket number that never falls as the value rises; 0 holds zero."""
     size = F.floor(F.log2(F.abs(value)) * _BUCKETS_PER_DOUBLING).cast("bigint") + _BUCKET_OF_ONE
@@ -51,15 +47,3 @@ def percent_ranks(counts: DataFrame) -> DataFrame:
         "value",
         F.when(F.col("total") > 1, rank).otherwise(0.0).alias("percent_rank"),
     )
-
-
-def join_ranks(rows: DataFrame, ranks: DataFrame, spread_by: list[str]) -> DataFrame:
-    """Rows of (part, value, ..) with the percent rank of their value.
-
-    Many rows may share one value. They are split over slices by `spread_by`, and the ranks, one row
-    per value, are repeated in each slice.
-    """
-    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(_SLICES)))
-    slices = F.sequence(F.lit(0).cast("bigint"), F.lit(_SLICES - 1).cast("bigint"))
-    repeated = ranks.withColumn("slice", F.explode(slices))
-    return sliced.join(repeated, ["part", "value", "slice"]).drop("slice")

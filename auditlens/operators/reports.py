@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error, safe_rate
+from auditlens.functions.joins import join_lookup
 from auditlens.operators.dates import first_day, in_calendar, with_days
 from auditlens.operators.marts import path_columns
 from auditlens.operators.scores import OBJECT
@@ -131,17 +132,18 @@ def rpt_user_metrics(
     with n executions brings n times n times its tables.
     """
     amount = exact(cost_measure(settings))
-    of_job = Window.partitionBy("job_key")
     executions = (
-        facts.groupBy("job_key", "statement_date", "user_key")
+        _reported(facts, settings)
+        .groupBy("job_key", "statement_date", "user_key")
         .agg(
             F.count("*").alias("n"),
             F.count_if(is_error("error_message_key")).alias("errors"),
             F.coalesce(F.sum(amount), F.lit(0)).alias("amount"),
             F.coalesce(F.sum(exact("total_slot_ms")), F.lit(0)).alias("slot_ms"),
         )
-        .withColumn("job_executions", F.sum("n").over(of_job))
     )
+    # All executions of a job count here, also those on days that are not reported.
+    job_executions = facts.groupBy("job_key").agg(F.count("*").alias("job_executions"))
     selects = (
         jobs.filter(F.lower("statement_type") == "select")
         .groupBy("job_key")
@@ -160,7 +162,7 @@ def rpt_user_metrics(
         return F.sum(F.col("n") * rows * per_execution).alias(layer)
 
     by_user = (
-        _reported(executions, settings)
+        executions.join(job_executions, "job_key")
         .join(selects, "job_key", "left")
         .join(tables, "job_key", "left")
         .groupBy("user_key", F.col("statement_date").alias("report_date"))
@@ -270,8 +272,9 @@ def rpt_query_alerting(
     """Each execution of the last days with its user, cost and statement text."""
     since = settings.as_of - dt.timedelta(days=ALERTING_DAYS)
     recent = facts.filter(F.col("statement_date") >= F.lit(since))
+    people = users.select("user_key", "username", "user_type")
     return (
-        recent.join(users.select("user_key", "username", "user_type"), "user_key")
+        join_lookup(recent, people, "user_key", ["job_key"])
         .join(statements.select("job_key", "query_statement"), "job_key")
         .select(
             "start_time",
@@ -307,10 +310,12 @@ def client_use(
     `matched` counts the references of the object that were executed on the day; each is counted
     with one client type.
     """
+    clients = agents.select("user_agent_key", "client_type")
+    people = users.select("user_key", "user_type")
+    reported = _reported(facts, settings, since)
+    reported = join_lookup(reported, clients, "user_agent_key", ["job_key"], "left")
     executions = (
-        _reported(facts, settings, since)
-        .join(agents.select("user_agent_key", "client_type"), "user_agent_key", "left")
-        .join(users.select("user_key", "user_type"), "user_key", "left")
+        join_lookup(reported, people, "user_key", ["job_key"], "left")
         .groupBy("job_key", "statement_date", "client_type", "user_key", "user_type")
         .agg(
             F.count("*").alias("n"),
@@ -319,12 +324,9 @@ def client_use(
     )
     # One of the rows of a job and day, and one of the attribute rows of a job, stand for the match
     # between a reference and a day.
-    previous_day = F.lag("statement_date").over(
-        Window.partitionBy("job_key").orderBy("statement_date", "client_type", "user_key")
-    )
-    executions = executions.withColumn(
-        "first_of_day", ~F.coalesce(previous_day == F.col("statement_date"), F.lit(False))
-    )
+    of_job_and_day = Window.partitionBy("job_key", "statement_date")
+    number = F.row_number().over(of_job_and_day.orderBy("client_type", "user_key"))
+    executions = executions.withColumn("first_of_day", number == 1)
     models = jobs.groupBy("job_key", "dbt_execution_type", "dbt_model_name").agg(
         F.count("*").alias("job_rows")
     )

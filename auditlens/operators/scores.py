@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error
-from auditlens.functions.ranks import join_ranks, percent_ranks
+from auditlens.functions.joins import join_lookup, sliced_join
+from auditlens.functions.ranks import percent_ranks
 from auditlens.operators.dates import in_calendar
 from auditlens.session import settle, side_by_side
 from auditlens.settings import Settings
@@ -30,9 +31,11 @@ def tables_of(refs: DataFrame) -> DataFrame:
 
 def object_days(facts: DataFrame, refs: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct (table, day) of executions with a known user."""
-    days = facts.join(users.select("user_key"), "user_key").select("job_key", "statement_date")
+    days = facts.select("job_key", "statement_date", "user_key").distinct()
+    known = join_lookup(days, users.select("user_key"), "user_key", ["job_key"])
     return (
-        days.distinct()
+        known.select("job_key", "statement_date")
+        .distinct()
         .join(tables_of(refs).select("job_key", OBJECT), "job_key")
         .select(OBJECT, "statement_date")
         .distinct()
@@ -63,6 +66,11 @@ def _count_values(parts: DataFrame) -> DataFrame:
     return parts.groupBy("part", "value").agg(F.count("*").alias("rows"))
 
 
+def _rank(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """Parts with the percent rank of their value. Many rows may share a value such as 0."""
+    return sliced_join(parts, percent_ranks(counts), ["part", "value"], [OBJECT, "date_day"])
+
+
 def _of_part(part: str, column: str) -> Column:
     return F.max(F.when(F.col("part") == part, F.col(column)))
 
@@ -82,8 +90,9 @@ def threat_score(
         egress = egress & F.col("principal_email").isin(*settings.egress_emails)
     amount = exact(cost_measure(settings))
 
+    people = users.select("user_key", "user_type", "principal_email")
     executions = (
-        facts.join(users.select("user_key", "user_type", "principal_email"), "user_key")
+        join_lookup(facts, people, "user_key", ["job_key"])
         .groupBy("job_key", "statement_date")
         .agg(
             F.count_if(egress).alias("egress"),
@@ -138,11 +147,7 @@ def threat_score(
         "threat",
     )
     parts = _as_parts(medians, ["egress", "query", "build", "errors"])
-    ranked = join_ranks(
-        parts.filter("date_day IS NOT NULL"),
-        percent_ranks(_count_values(parts)),
-        [OBJECT, "date_day"],
-    )
+    ranked = _rank(parts.filter("date_day IS NOT NULL"), _count_values(parts))
 
     def value(part: str) -> Column:
         return F.coalesce(_of_part(part, "value"), F.lit(0.0))
@@ -215,9 +220,9 @@ def importance_score(
     service = F.col("user_type") == "Service Account"
     # An agent key may have several client types; their points add up per execution.
     points = agents.groupBy("user_agent_key").agg(F.sum(_client_points(settings)).alias("points"))
+    known = join_lookup(facts, users.select("user_key", "user_type"), "user_key", ["job_key"])
     executions = (
-        facts.join(users.select("user_key", "user_type"), "user_key")
-        .join(points, "user_agent_key", "left")
+        join_lookup(known, points, "user_agent_key", ["job_key"], "left")
         .groupBy("job_key", "statement_date")
         .agg(
             F.count_if(service).alias("service"),
@@ -277,9 +282,7 @@ def importance_score(
         .agg(F.sum("days").alias("rows"))
     )
     on_calendar = medians.filter("date_day IS NOT NULL")
-    ranked = join_ranks(
-        _as_parts(on_calendar, all_parts), percent_ranks(counts), [OBJECT, "date_day"]
-    )
+    ranked = _rank(_as_parts(on_calendar, all_parts), counts)
     # A row without part or rank for every table and day, so that days without any part remain.
     none = F.lit(None)
     base = usage.select(

@@ -5,12 +5,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import values
-from auditlens.functions.ranks import join_ranks, percent_ranks
+from auditlens.functions import joins
+from auditlens.functions.ranks import percent_ranks
 
 
 def ranked(rows):
     counts = rows.groupBy("part", "value").agg(F.count("*").alias("rows"))
-    return join_ranks(rows, percent_ranks(counts), ["id"])
+    return joins.sliced_join(rows, percent_ranks(counts), ["part", "value"], ["id"])
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -31,3 +32,13 @@ def test_equals_the_window_function(spark, seed):
 def test_one_row_and_ties(spark):
     df = spark.createDataFrame([(1, "one", 7.0), (2, "tie", 7.0), (3, "tie", 7.0)], "id long, part string, value double")
     assert values(ranked(df), "id", "percent_rank") == [(1, 0.0), (2, 0.0), (3, 0.0)]
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookups_of_any_size_join_alike(spark, monkeypatch, limit, how):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    rows = spark.createDataFrame([(n, "hot" if n % 3 else str(n)) for n in range(60)] + [(60, None)], "id long, k string")
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("3", 3), (None, 4)], "k string, v int")
+    found = joins.join_lookup(rows, lookup, "k", ["id"], how)
+    assert values(found, "id", "k", "v") == values(rows.join(lookup, "k", how), "id", "k", "v")
