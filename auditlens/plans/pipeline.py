@@ -6,7 +6,8 @@ every reader scans the columns it needs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from auditlens.operators.filters import dev_limit, incremental_lookback
 from auditlens.operators.scores import importance_score, threat_score
 from auditlens.operators.staging import stage_audit_log
 from auditlens.plans.warehouse import Warehouse
-from auditlens.session import settle
+from auditlens.session import settle, side_by_side
 
 # Dimensions: key of the upsert, and columns to cluster by.
 DIMENSIONS = {
@@ -32,6 +33,8 @@ DIMENSIONS = {
     "dim_user_agents": (("user_agent_key", "client_type"), ("user_agent_key", "client_type")),
     "dim_errors": (("error_message_key",), ("error_message_key",)),
 }
+# Dimensions that depend on the settings.
+WITH_SETTINGS = {"dim_references", "dim_user_agents"}
 
 
 class Build:
@@ -47,11 +50,19 @@ class Build:
 
     def run(self) -> None:
         staged = self._stage()
-        self._dimensions(staged)
-        self._facts(staged)
-        self._scores()
+        side_by_side(
+            partial(self._facts, staged),
+            *(partial(self._dimension, name, staged) for name in DIMENSIONS),
+        )
+        side_by_side(self._threat, self._importance)
         if self.settings.enable_reports:
-            self._reports()
+            side_by_side(
+                self._table_usage,
+                self._query_alerting,
+                self._usage_cost,
+                self._user_metrics,
+                self._dbt_metrics,
+            )
 
     def _table(self, name: str) -> DataFrame:
         return self.warehouse.read(name)
@@ -77,21 +88,14 @@ class Build:
             return staged
         return staged.filter(F.col("event_date") >= F.lit(self.settings.lookback_start))
 
-    def _dimensions(self, staged: DataFrame) -> None:
-        build: dict[str, Callable[[], DataFrame]] = {
-            "dim_job": lambda: marts.dim_job(staged),
-            "dim_query_statements": lambda: marts.dim_query_statements(staged),
-            "dim_job_labels": lambda: marts.dim_job_labels(staged),
-            "dim_references": lambda: marts.dim_references(staged, self.settings),
-            "dim_users": lambda: marts.dim_users(staged),
-            "dim_user_agents": lambda: marts.dim_user_agents(staged, self.settings),
-            "dim_errors": lambda: marts.dim_errors(staged),
-        }
-        for name, (keys, cluster_by) in DIMENSIONS.items():
-            if self.incremental:
-                self.warehouse.upsert(name, build[name](), keys, cluster_by)
-            else:
-                self.warehouse.replace(name, build[name](), cluster_by)
+    def _dimension(self, name: str, staged: DataFrame) -> None:
+        build = getattr(marts, name)
+        df = build(staged, self.settings) if name in WITH_SETTINGS else build(staged)
+        keys, cluster_by = DIMENSIONS[name]
+        if self.incremental:
+            self.warehouse.upsert(name, df, keys, cluster_by)
+        else:
+            self.warehouse.replace(name, df, cluster_by)
 
     def _facts(self, staged: DataFrame) -> None:
         self._write_days(
@@ -103,51 +107,62 @@ class Build:
             "user_agent_key",
         )
 
-    def _scores(self) -> None:
-        """Ranks and medians run over all history; an incremental run writes the last days."""
-        facts, jobs, refs, users, labels, agents = self._tables(
-            "fct_statements",
-            "dim_job",
-            "dim_references",
-            "dim_users",
-            "dim_job_labels",
-            "dim_user_agents",
-        )
-        active = table_active_users(self._table("staged"), self.settings)
-        self._write_days("table_active_users", active, "event_date", "table_name")
-        threat = threat_score(facts, jobs, refs, users, self.settings)
+    # Ranks and medians run over all history; an incremental run writes the last days of them.
+
+    def _threat(self) -> None:
+        inputs = self._tables("fct_statements", "dim_job", "dim_references", "dim_users")
+        threat = threat_score(*inputs, self.settings)
         self._write_days("threat_score", threat, "statement_date", "referenced_view_or_table")
-        importance = importance_score(
-            facts, refs, users, labels, agents, self._table("table_active_users"), self.settings
+
+    def _importance(self) -> None:
+        # Settled, since the table written day by day lacks the earlier days of new tables, which
+        # count in the median.
+        active = settle(table_active_users(self._table("staged"), self.settings), "active-users")
+        self._write_days("table_active_users", active, "event_date", "table_name")
+        inputs = self._tables(
+            "fct_statements", "dim_references", "dim_users", "dim_job_labels", "dim_user_agents"
         )
+        importance = importance_score(*inputs, active, self.settings)
         self._write_days("importance_score", importance, "score_date", "table_name")
 
-    def _reports(self) -> None:
-        facts, jobs, refs, users, labels, agents, statements, threat, importance = self._tables(
+    def _table_usage(self) -> None:
+        since = self.settings.lookback_start if self.incremental else None
+        facts, jobs, refs, users, agents, threat, importance = self._tables(
             "fct_statements",
             "dim_job",
             "dim_references",
             "dim_users",
-            "dim_job_labels",
             "dim_user_agents",
-            "dim_query_statements",
             "threat_score",
             "importance_score",
         )
-        since = self.settings.lookback_start if self.incremental else None
         use = reports.client_use(facts, jobs, refs, users, agents, self.settings, since)
         usage = reports.rpt_table_usage(
             settle(use, "client-use"), facts, refs, threat, importance, self.settings, since
         )
         self._write_days("rpt_table_usage", usage, "report_date", "table_name")
-        alerts = reports.rpt_query_alerting(facts, users, statements, self.settings)
+
+    def _query_alerting(self) -> None:
+        inputs = self._tables("fct_statements", "dim_users", "dim_query_statements")
+        alerts = reports.rpt_query_alerting(*inputs, self.settings)
         alerts = alerts.withColumn("start_date", F.to_date("start_time"))
         self._write_days("rpt_query_alerting", alerts, "start_date", "username", "user_type")
 
-        # These three are rebuilt in full on every run.
-        cost = reports.rpt_usage_cost(facts, jobs, agents, self.settings)
-        people = reports.rpt_user_metrics(facts, jobs, refs, users, self.settings)
-        builds = reports.rpt_dbt_metrics(facts, jobs, labels, self.settings)
-        self.warehouse.write_days("rpt_usage_cost", cost, "report_date", ["client_type"])
-        self.warehouse.write_days("rpt_user_metrics", people, "report_date", ["username", "user_type"])
-        self.warehouse.write_days("rpt_dbt_metrics", builds, "report_date", ["dbt_model_name"])
+    # These three are rebuilt in full on every run.
+
+    def _usage_cost(self) -> None:
+        inputs = self._tables("fct_statements", "dim_job", "dim_user_agents")
+        report = reports.rpt_usage_cost(*inputs, self.settings)
+        self.warehouse.write_days("rpt_usage_cost", report, "report_date", ["client_type"])
+
+    def _user_metrics(self) -> None:
+        inputs = self._tables("fct_statements", "dim_job", "dim_references", "dim_users")
+        report = reports.rpt_user_metrics(*inputs, self.settings)
+        self.warehouse.write_days(
+            "rpt_user_metrics", report, "report_date", ["username", "user_type"]
+        )
+
+    def _dbt_metrics(self) -> None:
+        inputs = self._tables("fct_statements", "dim_job", "dim_job_labels")
+        report = reports.rpt_dbt_metrics(*inputs, self.settings)
+        self.warehouse.write_days("rpt_dbt_metrics", report, "report_date", ["dbt_model_name"])

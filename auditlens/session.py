@@ -44,11 +44,22 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read only.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/auditlens/{name}-{uuid.uuid4().hex}"
+    path = f"{_settled_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _settled_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/auditlens/{spark.sparkContext.applicationId}"
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Delete what this application settled. Call it when all results are written."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_settled_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def side_by_side(*tasks: Callable[[], Result]) -> list[Result]:
     """Run tasks that each start Spark jobs and do not need each other at the same time."""
     spark = SparkSession.active()
