@@ -12,6 +12,7 @@ import pytest
 import __spark_entry__ as contract
 import oracle_queries
 from compare import duckdb_rows, spark_rows
+from auditlens.functions import joins
 from auditlens.operators import reports
 from auditlens.sources.event_log import FIXTURE_SETTINGS
 
@@ -120,3 +121,12 @@ def test_query(odd, name):
     expected = duckdb_rows(oracle[name], "/root/testdata/sf0.001")
     assert expected[1], "the SQL finds no row to compare"
     assert spark_rows(QUERIES[name](tables)) == expected
+
+
+@pytest.mark.parametrize("name", ["threat_score", "importance_score", "rpt_table_usage"])
+def test_query_with_large_dimensions(odd, name, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    tables, oracle = odd
+    fresh = OddTables(tables.spark, tables.staged)
+    expected = duckdb_rows(oracle[name], "/root/testdata/sf0.001")
+    assert spark_rows(QUERIES[name](fresh)) == expected
