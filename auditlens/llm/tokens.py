@@ -9,6 +9,7 @@ segment can be read alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ SEGMENT_IDS = 1 << 18
 PLANES = "byte"
 LEVEL = 3
 # Pieces of text whose ids a task remembers.
-CACHED_PIECES = 1 << 19
+CACHED_PIECES = 400_000
 
 SEGMENTS = """part int, seq long, doc_ids array<long>, lengths array<long>, n_ids long, planes string,
     chunk_index array<long>, payload binary"""
@@ -77,8 +78,9 @@ class _Encoder:
     """Encodes texts with a tokenizer, each different piece of text once.
 
     Texts are cut at blanks and line ends, which the tokenizer drops and never joins tokens across,
-    and full stops and commas are cut from the end of words, where its own pattern cuts as well.
-    ASCII words are lower-cased first, as the tokenizer does. So the ids are those of the whole text.
+    and between an ASCII letter or digit and a full stop or comma that ends a word, where its own
+    pattern cuts as well. ASCII letters are lower-cased first, as it does itself. So the ids are
+    those of the whole text.
     """
 
     def __init__(self, path: str) -> None:
@@ -87,51 +89,57 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self._clear()
 
+    @classmethod
+    def of_worker(cls, path: str) -> _Encoder:
+        """The encoder of a worker process, kept beside the library over all tasks it runs, with
+        what it remembers. A lost worker only has to learn anew."""
+        import tokenizers
+
+        known = vars(tokenizers).setdefault("_auditlens_encoders", {})
+        if path not in known:
+            known[path] = cls(path)
+        return known[path]
+
     def _clear(self) -> None:
-        self.chunks = {"": 0}
-        self.pieces: dict[str, list[int]] = {"": []}
-        self.flat: list[int] = []
-        self.begin, self.length = [0], [0]
-
-    @staticmethod
-    def _cut(chunk: str) -> tuple[str, str]:
-        core = chunk.rstrip(".,")
-        if not core or not core[-1].isalpha():
-            return chunk, ""
-        return (core.lower() if core.isascii() else core), chunk[len(core) :]
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.chunks) > CACHED_PIECES:
-            self._clear()
-            new = new | self.wanted
-        cuts = [(chunk, *self._cut(chunk)) for chunk in new if chunk]
-        wanted = list({p for _, *both in cuts for p in both} - self.pieces.keys())
-        for i in range(0, len(wanted), 4096):
-            part = wanted[i : i + 4096]
-            for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.pieces[piece] = coded.ids
-        for chunk, core, tail in cuts:
-            ids = self.pieces[core] + self.pieces[tail]
-            self.chunks[chunk] = len(self.begin)
-            self.begin.append(len(self.flat))
-            self.length.append(len(ids))
-            self.flat += ids
+        self.number: dict[bytes, int] = {b"": 0}
+        self.flat = np.zeros(0, np.uint16)
+        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        coded = [
+            np.array(c.ids, np.uint32)
+            for i in range(0, len(new), 4096)
+            for c in self.tokenizer.encode_batch_fast([p.decode() for p in new[i : i + 4096]], add_special_tokens=False)
+        ]
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        length = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(length) - length))
+        self.length = np.concatenate((self.length, length))
+        self.flat = np.concatenate((self.flat, *coded)).astype(np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with the end id."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = [w for s in split for w in s]
-        self.wanted = set(words)
-        self._learn(self.wanted - self.chunks.keys())
-        number = np.fromiter(map(self.chunks.__getitem__, words), np.int64, len(words))
-        flat = np.array(self.flat, np.uint32)
-        begin, length = np.array(self.begin)[number], np.array(self.length)[number]
+        pieces: list[bytes] = []
+        counts = []
+        for text in texts:
+            found = _WORD_END.sub(b" \\1", text.encode().lower()).replace(b"\n", b" ").split(b" ")
+            pieces += found
+            counts.append(len(found))
+        different = set(pieces)
+        if len(self.number) > CACHED_PIECES:
+            self._clear()
+        self._learn([p for p in different if p not in self.number])
+        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        begin, length = self.begin[number], self.length[number]
         upto = np.cumsum(length)
-        ids = flat[np.repeat(begin - upto + length, length) + np.arange(upto[-1] if len(upto) else 0)]
-        ends = upto[np.cumsum([len(s) for s in split]) - 1]
+        ids = self.flat[np.repeat(begin - upto + length, length) + np.arange(upto[-1] if len(upto) else 0)]
+        ends = upto[np.cumsum(counts) - 1]
         return [np.append(p, np.uint32(END_ID)) for p in np.split(ids, ends[:-1])]
 
 
+_WORD_END = re.compile(rb"(?<=[0-9a-z])([.,])(?=[ \n]|$)")
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, planes: str = PLANES) -> None:
     """Write the ids of all documents in ascending order of doc_id, NULL first, then by text.
 
@@ -142,7 +150,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, planes: str =
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = _Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, seq = _Encoder.of_worker(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         coded: list[np.ndarray] = []
 
