@@ -49,6 +49,8 @@ RATE = 0.4
 SMOOTHING = 2.0
 # A generator's threshold is the lowest score whose candidates are personal data by this share.
 PRECISION = 0.95
+# A threshold lies halfway to the next worse candidate that was seen, or this much below if none was.
+MARGIN = 1.0
 
 _CONTEXT_WORDS = r"(?i)token|secret|passw|key|auth|card|visa|credit|phone|tel|call|mobile|fax|mail|contact|ip|server|host|ssn|account|iban"
 
@@ -284,7 +286,13 @@ def fit(cells: np.ndarray, positive: np.ndarray, total: np.ndarray) -> Trees:
         rows = rows[np.argsort(-scores[rows], kind="stable")]
         share = positive[rows].cumsum() / np.maximum(total[rows].cumsum(), 1)
         enough = np.flatnonzero((share >= PRECISION) & (positive[rows].cumsum() > 0))
-        thresholds.append(float(scores[rows[enough[-1]]]) - 1e-4 if len(enough) else math.inf)
+        if not len(enough):
+            thresholds.append(math.inf)
+            continue
+        last = int(enough[-1])
+        lowest = float(scores[rows[last]])
+        below = float(scores[rows[last + 1]]) if last + 1 < len(rows) else lowest - 2 * MARGIN
+        thresholds.append(round((lowest + below) / 2, 6) if below < lowest else lowest - 1e-6)
     return Trees(model.start, model.trees, tuple(thresholds))
 
 

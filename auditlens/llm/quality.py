@@ -32,7 +32,7 @@ STEPS = 4
 # Squared distance. A normal group of any size in reach of a cluster exceeds it by chance never.
 CUTOFF = 40.0
 # Groups with fewer rows are pooled: by language, and if that is not enough, all together.
-MIN_ROWS = 100
+MIN_ROWS = 10 * DIMENSIONS
 
 _X = [f"x{i}" for i in range(DIMENSIONS)]
 _PAIRS = list(combinations_with_replacement(range(DIMENSIONS), 2))

@@ -1,0 +1,33 @@
+"""The pipeline against its stages in plain Python, and its contract."""
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_queries_are_registered():
+    names = contract.queries()
+    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), docs.schema)
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > counts[2] >= counts[3] > 0
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    expected, start = [], 0
+    for d, text in rows:
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+        expected.append((d, start, n))
+        start += n
+    found = [(r.doc_id, r.start, r.n_tokens) for r in corpus_pipeline.run(spark, SF_DIR).collect()]
+    assert sorted(found) == expected
