@@ -410,8 +410,11 @@ def test_private_data(docs):
         assert all(s.split(":")[0] in pii.KINDS[4:] for s in every[len(base) :])
 
 
-def test_redaction(documents, odd):
+def test_redaction(spark, odd):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = pii.train(documents)
+    assert any(t < float("inf") for t in model.thresholds) and len(model.trees) == pii.ROUNDS
+    assert pii.train(documents.filter("false")).trees == ()
     out = {r.doc_id: r.text for r in pii.redacted(odd, model).collect()}
     assert "@e.f" not in out[8] and "[ip]" in out[8] and out[1] is None and out[2] == ""
     assert "24be64439e3e49cf" not in out[11]
