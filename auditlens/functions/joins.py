@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to this many rows of a key and a few short texts takes some hundred megabytes on
-# each executor.
-BROADCAST_ROWS = 2_000_000
-
 # Slices that the rows of a key are split into.
 SLICES = 16
 
@@ -30,16 +26,3 @@ def sliced_join(
     sliced = rows.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(SLICES)))
     repeated = lookup.withColumn("slice", F.expr(f"explode(sequence(0L, {SLICES - 1}L))"))
     return sliced.join(repeated, [*keys, "slice"], how).drop("slice")
-
-
-def join_lookup(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join rows with a dimension, such as users, of which one may hold a large share of the rows.
-
-    The dimension is counted. A small one goes to all executors and the rows stay where they are; a
-    larger one is joined in slices.
-    """
-    if lookup.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(lookup), key, how)
-    return sliced_join(rows, lookup, [key], spread_by, how)

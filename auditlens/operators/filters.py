@@ -26,3 +26,9 @@ def dev_limit(staged: DataFrame, settings: Settings) -> DataFrame:
     """Events within the development limit, on the targets it applies to."""
     start = settings.dev_limit_start
     return staged if start is None else _since(staged, start)
+
+
+def dev_limit_days(facts: DataFrame, settings: Settings) -> DataFrame:
+    """Executions that started within the development limit, on the targets it applies to."""
+    start = settings.dev_limit_start
+    return facts if start is None else facts.filter(F.col("statement_date") >= F.lit(start))

@@ -23,8 +23,8 @@ from auditlens.settings import Settings
 
 # What the tables here and the active users read of the staged log.
 STAGED_COLUMNS = [
-    "grafana_dashboard_id",
-    "grafana_panel_id",
+    "dashboard_id",
+    "panel_id",
     "job_id",
     "event_type",
     "event_timestamp",
@@ -67,8 +67,8 @@ def dim_job(staged: DataFrame) -> DataFrame:
     return (
         staged.withColumn("info", statement_comment("query_statement"))
         .select(
-            "grafana_dashboard_id",
-            "grafana_panel_id",
+            "dashboard_id",
+            "panel_id",
             "job_id",
             "project_id",
             "event_type",

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error, safe_rate
-from auditlens.functions.joins import join_lookup
 from auditlens.operators.dates import first_day, in_calendar, with_days
 from auditlens.operators.marts import path_columns
 from auditlens.operators.scores import OBJECT
@@ -157,9 +156,11 @@ def rpt_user_metrics(
     )
     rows = F.coalesce("select_rows", F.lit(1))
 
+    # The product grows with the square of the executions of a job, so it is a decimal.
     def used(layer: str) -> Column:
-        per_execution = F.col("job_executions") * F.coalesce(F.col(layer), F.lit(0))
-        return F.sum(F.col("n") * rows * per_execution).alias(layer)
+        whole = lambda c: F.coalesce(c, F.lit(0)).cast("decimal(19,0)")
+        each = whole(F.col("n") * rows) * whole(F.col("job_executions"))
+        return F.sum(each.cast("decimal(38,0)") * whole(F.col(layer))).alias(layer)
 
     by_user = (
         executions.join(job_executions, "job_key")
@@ -187,10 +188,11 @@ def rpt_user_metrics(
         "project_id",
         "total_queries_run",
         "total_errors",
-        F.col("prod").alias("total_prod_tables_used"),
-        F.col("stage").alias("total_stage_tables_used"),
-        F.col("raw").alias("total_raw_tables_used"),
-        F.col("tables").alias("total_tables_used"),
+        # NULL where a total is beyond a whole number of 64 bits.
+        F.col("prod").try_cast("bigint").alias("total_prod_tables_used"),
+        F.col("stage").try_cast("bigint").alias("total_stage_tables_used"),
+        F.col("raw").try_cast("bigint").alias("total_raw_tables_used"),
+        F.col("tables").try_cast("bigint").alias("total_tables_used"),
         cost("amount", settings).alias("total_estimated_cost_usd"),
         F.col("slot_ms").cast("bigint").alias("total_time_ms"),
         safe_rate("total_errors", "total_queries_run", 100.0).alias("error_rate"),
@@ -274,7 +276,7 @@ def rpt_query_alerting(
     recent = facts.filter(F.col("statement_date") >= F.lit(since))
     people = users.select("user_key", "username", "user_type")
     return (
-        join_lookup(recent, people, "user_key", ["job_key"])
+        recent.join(people, "user_key")
         .join(statements.select("job_key", "query_statement"), "job_key")
         .select(
             "start_time",
@@ -312,16 +314,20 @@ def client_use(
     """
     clients = agents.select("user_agent_key", "client_type")
     people = users.select("user_key", "user_type")
-    reported = _reported(facts, settings, since)
-    reported = join_lookup(reported, clients, "user_agent_key", ["job_key"], "left")
-    executions = (
-        join_lookup(reported, people, "user_key", ["job_key"], "left")
-        .groupBy("job_key", "statement_date", "client_type", "user_key", "user_type")
+    by_agent = (
+        _reported(facts, settings, since)
+        .groupBy("job_key", "statement_date", "user_key", "user_agent_key")
         .agg(
             F.count("*").alias("n"),
             F.count_if(is_error("error_message_key")).alias("errors"),
         )
     )
+    executions = (
+        by_agent.join(clients, "user_agent_key", "left")
+        .join(people, "user_key", "left")
+        .groupBy("job_key", "statement_date", "client_type", "user_key", "user_type")
+        .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
+    )
     # One of the rows of a job and day, and one of the attribute rows of a job, stand for the match
     # between a reference and a day.
     of_job_and_day = Window.partitionBy("job_key", "statement_date")
@@ -382,7 +388,7 @@ def rpt_table_usage(
     executed. `since` reports the days from there on only. `use` is read twice.
     """
     day = [OBJECT, "statement_date"]
-    matches = use.groupBy(*day).agg(
+    matches = use.groupBy(*day, "layer_used").agg(
         F.sum("matched").alias("matched"),
         F.bool_or(F.col("client_type").isNull()).alias("has_no_client"),
     )
@@ -390,7 +396,7 @@ def rpt_table_usage(
     spine = with_days(objects, _report_start(facts, settings, since), settings, "statement_date")
     zero = F.lit(0).cast("bigint")
     zeros = (
-        spine.join(matches, day, "left")
+        spine.join(matches, [*day, "layer_used"], "left")
         .filter(
             (F.coalesce("matched", F.lit(0)) < F.col("references"))
             & ~F.coalesce("has_no_client", F.lit(False))

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error
-from auditlens.functions.joins import join_lookup, sliced_join
+from auditlens.functions.joins import sliced_join
 from auditlens.functions.ranks import percent_ranks
 from auditlens.operators.dates import in_calendar
+from auditlens.operators.filters import dev_limit_days
 from auditlens.session import settle, side_by_side
 from auditlens.settings import Settings
 
@@ -32,7 +33,7 @@ def tables_of(refs: DataFrame) -> DataFrame:
 def object_days(facts: DataFrame, refs: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct (table, day) of executions with a known user."""
     days = facts.select("job_key", "statement_date", "user_key").distinct()
-    known = join_lookup(days, users.select("user_key"), "user_key", ["job_key"])
+    known = days.join(users.select("user_key"), "user_key")
     return (
         known.select("job_key", "statement_date")
         .distinct()
@@ -91,16 +92,25 @@ def threat_score(
     amount = exact(cost_measure(settings))
 
     people = users.select("user_key", "user_type", "principal_email")
+    by_user = dev_limit_days(facts, settings).groupBy("job_key", "statement_date", "user_key").agg(
+        F.count("*").alias("n"),
+        F.sum(amount).alias("amount"),
+        F.count_if(is_error("error_message_key")).alias("errors"),
+    )
+
+    def counted(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
+
     executions = (
-        join_lookup(facts, people, "user_key", ["job_key"])
+        by_user.join(people, "user_key")
         .groupBy("job_key", "statement_date")
         .agg(
-            F.count_if(egress).alias("egress"),
-            F.count_if(human).alias("queries"),
-            F.sum(F.when(human, amount)).alias("query_amount"),
-            F.count_if(service).alias("builds"),
-            F.sum(F.when(service, amount)).alias("build_amount"),
-            F.count_if(is_error("error_message_key")).alias("errors"),
+            counted(egress).alias("egress"),
+            counted(human).alias("queries"),
+            F.sum(F.when(human, F.col("amount"))).alias("query_amount"),
+            counted(service).alias("builds"),
+            F.sum(F.when(service, F.col("amount"))).alias("build_amount"),
+            F.sum("errors").alias("errors"),
         )
     )
     # A job may have several rows of attributes, and each repeats the executions of the job.
@@ -123,31 +133,38 @@ def threat_score(
         )
     )
 
+    # Without a price all costs are equal, whatever was read.
+    free = settings.pricing_schedule == "on_demand" and settings.on_demand_price_per_tib == 0
+
     def spent(total: str, when: str) -> Column:
-        return F.when(F.col(when) > 0, F.coalesce(F.col(total).cast("double"), F.lit(0.0)))
+        worth = F.lit(0.0) if free else F.coalesce(F.col(total).cast("double"), F.lit(0.0))
+        return F.when(F.col(when) > 0, worth)
 
+    # Egress is ranked for each layer that an object was used in, all else for the object.
+    daily = settle(daily, "threat-days")
     factor = F.when(F.col("layer_used") == "prod", 1).otherwise(OFF_PROD_EGRESS)
-    values = daily.select(
+    egress_parts = daily.filter("egress > 0").select(
+        OBJECT,
+        "date_day",
+        F.lit("egress").alias("part"),
+        (F.col("egress") * factor).cast("double").alias("value"),
+    )
+    measures = ("queries", "query_amount", "builds", "build_amount", "errors")
+    whole = daily.groupBy(OBJECT, "date_day").agg(*(F.sum(m).alias(m) for m in measures))
+    values = whole.select(
         OBJECT,
         "date_day",
-        F.when(F.col("egress") > 0, (F.col("egress") * factor).cast("double")).alias("egress"),
         spent("query_amount", "queries").alias("query"),
         spent("build_amount", "builds").alias("build"),
         F.when(F.col("errors") > 0, F.col("errors").cast("double")).alias("errors"),
     )
-    medians = settle(
-        values.select(
-            OBJECT,
-            "date_day",
-            "egress",
-            _median("query").alias("query"),
-            _median("build").alias("build"),
-            _median("errors").alias("errors"),
-        ),
-        "threat",
-    )
-    parts = _as_parts(medians, ["egress", "query", "build", "errors"])
+    others = ["query", "build", "errors"]
+    medians = settle(values.select(OBJECT, "date_day", *(_median(m).alias(m) for m in others)), "threat")
+    parts = _as_parts(medians, others).unionByName(egress_parts)
     ranked = _rank(parts.filter("date_day IS NOT NULL"), _count_values(parts))
+    of_layer = ranked.filter("part = 'egress'").select(
+        OBJECT, "date_day", F.col("value").alias("egress"), F.col("percent_rank").alias("egress_rank")
+    )
 
     def value(part: str) -> Column:
         return F.coalesce(_of_part(part, "value"), F.lit(0.0))
@@ -161,11 +178,10 @@ def threat_score(
         + F.col("percent_rank_daily_build_cost") * settings.threat_build_cost_weight
         + F.col("percent_rank_daily_errors") * settings.threat_errors_weight
     )
-    return (
-        ranked.groupBy(OBJECT, F.col("date_day").alias("statement_date"))
+    of_object = (
+        ranked.filter("part <> 'egress'")
+        .groupBy(OBJECT, "date_day")
         .agg(
-            value("egress").cast("bigint").alias("count_queries_with_multiplier"),
-            rank("egress").alias("percent_rank_count_queries_with_multiplier"),
             cost(value("query"), settings).alias("sum_daily_query_cost_median"),
             rank("query").alias("percent_rank_sum_daily_query_cost"),
             cost(value("build"), settings).alias("sum_daily_build_cost_median"),
@@ -173,6 +189,17 @@ def threat_score(
             value("errors").alias("median_count_daily_errors"),
             rank("errors").alias("percent_rank_daily_errors"),
         )
+    )
+    none = F.lit(0.0)
+    return (
+        of_object.join(of_layer, [OBJECT, "date_day"], "full")
+        .select(
+            OBJECT,
+            F.col("date_day").alias("statement_date"),
+            F.coalesce("egress", none).cast("bigint").alias("count_queries_with_multiplier"),
+            F.coalesce("egress_rank", none).alias("percent_rank_count_queries_with_multiplier"),
+            *(F.coalesce(c, none).alias(c) for c in of_object.columns if c not in (OBJECT, "date_day")),
+        )
         .withColumn("threat_score", score)
         .filter("threat_score > 0")
     )
@@ -220,14 +247,20 @@ def importance_score(
     service = F.col("user_type") == "Service Account"
     # An agent key may have several client types; their points add up per execution.
     points = agents.groupBy("user_agent_key").agg(F.sum(_client_points(settings)).alias("points"))
-    known = join_lookup(facts, users.select("user_key", "user_type"), "user_key", ["job_key"])
+    by_user = (
+        dev_limit_days(facts, settings)
+        .groupBy("job_key", "statement_date", "user_key", "user_agent_key")
+        .agg(F.count("*").alias("n"))
+    )
+    zero = F.lit(0)
     executions = (
-        join_lookup(known, points, "user_agent_key", ["job_key"], "left")
+        by_user.join(users.select("user_key", "user_type"), "user_key")
+        .join(points, "user_agent_key", "left")
         .groupBy("job_key", "statement_date")
         .agg(
-            F.count_if(service).alias("service"),
-            F.count_if(service & F.col("points").isNotNull()).alias("scored"),
-            F.coalesce(F.sum(F.when(service, F.col("points"))), F.lit(0)).alias("egress"),
+            F.sum(F.when(service, F.col("n")).otherwise(zero)).alias("service"),
+            F.sum(F.when(service & F.col("points").isNotNull(), F.col("n")).otherwise(zero)).alias("scored"),
+            F.coalesce(F.sum(F.when(service, F.col("points") * F.col("n"))), zero).alias("egress"),
         )
     )
     invocations = (

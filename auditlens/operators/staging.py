@@ -68,8 +68,8 @@ _SECTIONS = (
 
 _COLUMNS = {
     "insert_id": "insert_id",
-    "grafana_dashboard_id": "labels['x-dashboard-uid']",
-    "grafana_panel_id": "labels['x-panel-id']",
+    "dashboard_id": "labels['x-dashboard-uid']",
+    "panel_id": "labels['x-panel-id']",
     # projects/<project>/jobs/<job>; NULL if a part is missing.
     "job_id": "get(name_parts, 1) || ':' || get(name_parts, 3)",
     "event_type": "'JobChangeEvent'",

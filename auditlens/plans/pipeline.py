@@ -22,8 +22,8 @@ from auditlens.session import settle, side_by_side
 
 # Dimensions: key of the upsert, and columns to cluster by.
 DIMENSIONS = {
-    "dim_job": (("job_key", "caller_ip_address"), ("job_key", "grafana_dashboard_id", "grafana_panel_id")),
-    "dim_query_statements": (("job_key",), ("job_key",)),
+    "dim_job": (("job_key", "caller_ip_address"), ("job_key", "dashboard_id", "panel_id")),
+    "dim_query_statements": (("job_key",), ("job_key", "query_statement")),
     "dim_job_labels": (("job_key", "label_key"), ("job_key", "label_key")),
     "dim_references": (
         ("job_key", "referenced_view_or_table", "layer_used", "object_type"),
@@ -80,7 +80,8 @@ class Build:
         if self.incremental:
             staged = incremental_lookback(staged, self.settings)
         staged = staged.withColumn("event_date", F.to_date("event_timestamp"))
-        self._write_days("staged", staged, "event_date", "job_id")
+        days = self.settings.lookback if self.incremental else None
+        self.warehouse.write_days("staged", staged, "event_date", None, days)
         return self._since_lookback(self._table("staged"))
 
     def _since_lookback(self, staged: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ class Build:
         usage = reports.rpt_table_usage(
             settle(use, "client-use"), facts, refs, threat, importance, self.settings, since
         )
-        self._write_days("rpt_table_usage", usage, "report_date", "table_name")
+        self._write_days("rpt_table_usage", usage, "report_date", "layer", "client_type")
 
     def _query_alerting(self) -> None:
         inputs = self._tables("fct_statements", "dim_users", "dim_query_statements")

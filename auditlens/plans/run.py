@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
 from auditlens import CustomClient, Settings  # noqa: E402
 from auditlens.plans.pipeline import Build  # noqa: E402
+from auditlens.plans.rules import broken_rules  # noqa: E402
 from auditlens.plans.warehouse import Warehouse  # noqa: E402
 from auditlens.session import drop_settled, use_utc  # noqa: E402
 from auditlens.sources.audit_log import read_logs  # noqa: E402
@@ -41,6 +42,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--as-of", required=True, type=dt.date.fromisoformat, help="today's date")
     parser.add_argument("--settings", type=Path, help="JSON file with settings")
     parser.add_argument("--incremental", action="store_true", help="the last days only")
+    parser.add_argument("--check", action="store_true", help="check the tables after the build")
     options = parser.parse_args(arguments)
 
     values = json.loads(options.settings.read_text()) if options.settings else {}
@@ -48,8 +50,13 @@ def main(arguments: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, options.warehouse, settings_from(values, options.as_of))
     try:
         Build([read_logs(spark, options.log)], warehouse, options.incremental).run()
+        broken = broken_rules(warehouse) if options.check else []
     finally:
         drop_settled(spark)
+    for table, rule, columns, rows in broken:
+        print(f"{table}: {rows} rows break {rule} of {', '.join(columns)}")
+    if broken:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

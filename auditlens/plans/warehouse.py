@@ -38,6 +38,7 @@ class Warehouse:
 
     def write_full(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> DataFrame:
         """Replace the whole table."""
+        self._keep_schema(name, df)
         _clustered(df, cluster_by).write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
@@ -46,20 +47,28 @@ class Warehouse:
         name: str,
         df: DataFrame,
         day: str,
-        cluster_by: Sequence[str] = (),
+        cluster_by: Sequence[str] | None = (),
         days: Sequence[dt.date] | None = None,
     ) -> DataFrame:
         """Write a table partitioned by day: all of it, or only the partitions of `days`.
 
         With `days`, rows of other days are not written and other partitions are kept; a partition
         of `days` without new rows is emptied. Rows are spread by ranges of day and cluster
-        columns, so one large day is written by many tasks and each file covers a narrow range.
+        columns, so one large day is written by many tasks and each file covers a narrow range. Where
+        `cluster_by` is None they are only brought together by day, and a large day is split by
+        size: ranges have to be sampled first, which would do the work above twice.
         """
+
+        def arranged(rows: DataFrame) -> DataFrame:
+            if cluster_by is None:
+                return rows.hint("rebalance", F.col(day))
+            return _clustered(rows, [day, *cluster_by])
+
+        self._keep_schema(name, df)
         if days is None:
-            written = _clustered(df, [day, *cluster_by])
-            self._write_partitions(name, written, day, "static")
+            self._write_partitions(name, arranged(df), day, "static")
         else:
-            recent = _clustered(df.filter(F.col(day).isin(*days)), [day, *cluster_by])
+            recent = arranged(df.filter(F.col(day).isin(*days)))
             seen = Observation()
             observed = recent.observe(seen, F.collect_set(day).alias("days"))
             self._write_partitions(name, observed, day, "dynamic")
@@ -100,6 +109,7 @@ class Warehouse:
         """Write the next snapshot of a table that is upserted."""
         current = self._latest_snapshot(name)
         path = self._snapshot_path(name, 0 if current is None else current + 1)
+        self._keep_schema(name, df)
         _clustered(df, cluster_by).write.mode("overwrite").parquet(path)
         return self.read(name)
 
@@ -108,7 +118,17 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         snapshot = self._latest_snapshot(name)
         path = self.path(name) if snapshot is None else self._snapshot_path(name, snapshot)
-        return self.spark.read.parquet(path)
+        schema = self.spark.read.parquet(self._schema_path(name)).schema
+        return self.spark.read.schema(schema).parquet(path)
+
+    # Schemas are kept beside the tables: a table without rows may have no file to tell its own.
+
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root}/_schemas/{name}"
+
+    def _keep_schema(self, name: str, df: DataFrame) -> None:
+        none = self.spark.createDataFrame([], df.schema)
+        none.write.mode("overwrite").parquet(self._schema_path(name))
 
     def read_report(
         self,

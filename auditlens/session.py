@@ -15,7 +15,8 @@ Result = TypeVar("Result")
 
 FOLDER_SETTING = "spark.checkpoint.dir"
 
-_local_folders: dict[str, str] = {}
+# Folders of local sessions, removed when the process ends.
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -33,15 +34,16 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {FOLDER_SETTING} to a folder that all executors share")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="auditlens-")
-    return _local_folders[context.applicationId]
+        _local_folders[context.applicationId] = tempfile.TemporaryDirectory(prefix="auditlens-")
+    return _local_folders[context.applicationId].name
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder, and read it back.
 
     Cuts the lineage: the branches scan columnar files and do not repeat the work above, and a
-    lost executor costs a re-read only.
+    lost executor costs a re-read only. The files stay until the caller has read its results and
+    calls `drop_settled`.
     """
     spark = df.sparkSession
     path = f"{_settled_folder(spark)}/{name}-{uuid.uuid4().hex}"

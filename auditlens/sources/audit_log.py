@@ -31,12 +31,3 @@ def union_logs(logs: Sequence[DataFrame]) -> DataFrame:
 def read_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Read log tables kept as Parquet. Columns the engine does not know are never read."""
     return union_logs([spark.read.schema(LOG_SCHEMA).parquet(path) for path in paths])
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than the cluster has cores.
-
-    Large inputs have enough splits and pass unchanged, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -12,7 +12,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from auditlens.settings import Settings
-from auditlens.sources.audit_log import spread
 
 # The log covers January 2024; the settings below name its datasets.
 FIXTURE_SETTINGS = Settings(
@@ -134,4 +133,5 @@ def log_from_events(events: DataFrame) -> DataFrame:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_from_events(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return log_from_events(events.repartition(spark.sparkContext.defaultParallelism))

@@ -50,8 +50,8 @@ _step(
     """
     SELECT
         'ins-' || event_id AS insert_id,
-        CASE WHEN kind = 'signup' AND k % 10 <> 9 THEN 'd' || (k % 3) END AS grafana_dashboard_id,
-        CASE WHEN kind = 'signup' AND k % 10 <> 9 THEN 'p' || (k % 5) END AS grafana_panel_id,
+        CASE WHEN kind = 'signup' AND k % 10 <> 9 THEN 'd' || (k % 3) END AS dashboard_id,
+        CASE WHEN kind = 'signup' AND k % 10 <> 9 THEN 'p' || (k % 5) END AS panel_id,
         project || ':job' || (CASE WHEN event_id % 40 = 39 THEN event_id - 1 ELSE event_id END)
             AS job_id,
         'JobChangeEvent' AS event_type,
@@ -143,7 +143,7 @@ def _jobs(where: str = "") -> str:
     SELECT {_key('job_id')} AS job_key, *
     FROM (
         SELECT DISTINCT
-            grafana_dashboard_id, grafana_panel_id, job_id, project_id, event_type, resource_name,
+            dashboard_id, panel_id, job_id, project_id, event_type, resource_name,
             caller_ip_address, method_name, create_disposition, statement_type, query_priority,
             json_extract_string(dbt_info, '$.dbt_version') AS dbt_version,
             json_extract_string(dbt_info, '$.profile_name') AS dbt_profile_name,

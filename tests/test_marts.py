@@ -131,7 +131,7 @@ def test_job_comment(spark):
         None,
     ]
     names = (
-        "grafana_dashboard_id grafana_panel_id job_id project_id event_type resource_name "
+        "dashboard_id panel_id job_id project_id event_type resource_name "
         "caller_ip_address method_name create_disposition statement_type query_priority"
     ).split()
     schema = ", ".join(f"{n} string" for n in names) + ", query_statement string, cache_hit boolean"

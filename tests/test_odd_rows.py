@@ -12,7 +12,6 @@ import pytest
 import __spark_entry__ as contract
 import oracle_queries
 from compare import duckdb_rows, spark_rows
-from auditlens.functions import joins
 from auditlens.operators import reports
 from auditlens.sources.event_log import FIXTURE_SETTINGS
 
@@ -88,7 +87,7 @@ def odd_rows(seed, count=240):
 
 
 SCHEMA = """
-    grafana_dashboard_id string, grafana_panel_id string, job_id string, event_type string,
+    dashboard_id string, panel_id string, job_id string, event_type string,
     event_timestamp timestamp, resource_name string, principal_email string, project_id string,
     caller_ip_address string, caller_supplied_user_agent string, method_name string,
     error_result_code string, error_result_message string, start_time timestamp,
@@ -124,9 +123,16 @@ def test_query(odd, name):
 
 
 @pytest.mark.parametrize("name", ["threat_score", "importance_score", "rpt_table_usage"])
-def test_query_with_large_dimensions(odd, name, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+def test_query_with_large_dimensions(odd, name):
+    """No dimension is small enough to be sent to all executors."""
     tables, oracle = odd
     fresh = OddTables(tables.spark, tables.staged)
     expected = duckdb_rows(oracle[name], "/root/testdata/sf0.001")
-    assert spark_rows(QUERIES[name](fresh)) == expected
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for setting in settings:
+        tables.spark.conf.set(setting, "-1")
+    try:
+        assert spark_rows(QUERIES[name](fresh)) == expected
+    finally:
+        for setting in settings:
+            tables.spark.conf.unset(setting)

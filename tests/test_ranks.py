@@ -34,11 +34,9 @@ def test_one_row_and_ties(spark):
     assert values(ranked(df), "id", "percent_rank") == [(1, 0.0), (2, 0.0), (3, 0.0)]
 
 
-@pytest.mark.parametrize("limit", [0, 10])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookups_of_any_size_join_alike(spark, monkeypatch, limit, how):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+def test_slices_join_like_a_plain_join(spark, how):
     rows = spark.createDataFrame([(n, "hot" if n % 3 else str(n)) for n in range(60)] + [(60, None)], "id long, k string")
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("3", 3), (None, 4)], "k string, v int")
-    found = joins.join_lookup(rows, lookup, "k", ["id"], how)
+    found = joins.sliced_join(rows, lookup, ["k"], ["id"], how)
     assert values(found, "id", "k", "v") == values(rows.join(lookup, "k", how), "id", "k", "v")

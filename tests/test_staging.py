@@ -81,7 +81,7 @@ def test_labels_and_configurations(spark):
         "queryConfig": {"writeDisposition": "Q", "queryTruncated": False},
     }
     row = stage(spark, log_row(job(jobConfig=config))).first()
-    assert (row.grafana_dashboard_id, row.grafana_panel_id) == ("d", "p")
+    assert (row.dashboard_id, row.panel_id) == ("d", "p")
     assert json.loads(row.config_labels) == config["labels"]
     assert (row.destination_table, row.write_disposition) == ("t", "Q")
     assert row.is_query_truncated is False
