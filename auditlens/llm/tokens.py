@@ -74,6 +74,19 @@ def unpack(payload: bytes, index: list[int], n: int, planes: str = PLANES, block
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
+class _Numbers(dict):
+    """Numbers of pieces. A piece that is not known gets the next number, and is noted as new."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__(known)
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class _Encoder:
     """Encodes texts with a tokenizer, each different piece of text once.
 
@@ -87,7 +100,9 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
+        self.number = _Numbers({b"": 0})
+        self.flat = np.zeros(0, np.uint32)
+        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     @classmethod
     def of_worker(cls, path: str) -> _Encoder:
@@ -100,18 +115,12 @@ class _Encoder:
             known[path] = cls(path)
         return known[path]
 
-    def _clear(self) -> None:
-        self.number: dict[bytes, int] = {b"": 0}
-        self.flat = np.zeros(0, np.uint16)
-        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
-
     def _learn(self, new: list[bytes]) -> None:
         coded = [
             np.array(c.ids, np.uint32)
             for i in range(0, len(new), 4096)
             for c in self.tokenizer.encode_batch_fast([p.decode() for p in new[i : i + 4096]], add_special_tokens=False)
         ]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         length = np.fromiter(map(len, coded), np.int64, len(coded))
         self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(length) - length))
         self.length = np.concatenate((self.length, length))
@@ -125,14 +134,17 @@ class _Encoder:
             found = _WORD_END.sub(b" \\1", text.encode().lower()).replace(b"\n", b" ").split(b" ")
             pieces += found
             counts.append(len(found))
-        different = set(pieces)
-        if len(self.number) > CACHED_PIECES:
-            self._clear()
-        self._learn([p for p in different if p not in self.number])
+        known, used = len(self.number), len(self.flat)
         number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        new, self.number.new = self.number.new, []
+        self._learn(new)
         begin, length = self.begin[number], self.length[number]
         upto = np.cumsum(length)
         ids = self.flat[np.repeat(begin - upto + length, length) + np.arange(upto[-1] if len(upto) else 0)]
+        if known + len(new) > CACHED_PIECES:  # what was seen first, and so is frequent, stays known
+            for piece in new:
+                del self.number[piece]
+            self.flat, self.begin, self.length = self.flat[:used], self.begin[:known], self.length[:known]
         ends = upto[np.cumsum(counts) - 1]
         return [np.append(p, np.uint32(END_ID)) for p in np.split(ids, ends[:-1])]
 
