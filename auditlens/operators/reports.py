@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import cost, cost_measure, exact, is_error, safe_rate
 from auditlens.operators.dates import first_day, in_calendar, with_days
 from auditlens.operators.marts import path_columns
 from auditlens.operators.scores import OBJECT
+from auditlens.session import settle
 from auditlens.settings import Settings
 
 # Fixed value: days before today that the alerting feed reaches back to.
@@ -309,8 +310,8 @@ def client_use(
 ) -> DataFrame:
     """Use of tables and views per day and client type, on the days they were used.
 
-    `matched` counts the references of the object that were executed on the day; each is counted
-    with one client type.
+    Totals, users and models meet the objects of a job apart from each other, each reduced to what
+    it counts, so the users of a job are never multiplied with its models.
     """
     clients = agents.select("user_agent_key", "client_type")
     people = users.select("user_key", "user_type")
@@ -328,48 +329,51 @@ def client_use(
         .groupBy("job_key", "statement_date", "client_type", "user_key", "user_type")
         .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
     )
-    # One of the rows of a job and day, and one of the attribute rows of a job, stand for the match
-    # between a reference and a day.
-    of_job_and_day = Window.partitionBy("job_key", "statement_date")
-    number = F.row_number().over(of_job_and_day.orderBy("client_type", "user_key"))
-    executions = executions.withColumn("first_of_day", number == 1)
-    models = jobs.groupBy("job_key", "dbt_execution_type", "dbt_model_name").agg(
-        F.count("*").alias("job_rows")
-    )
-    models = models.withColumn(
-        "model_number",
-        F.row_number().over(
-            Window.partitionBy("job_key").orderBy("dbt_execution_type", "dbt_model_name")
-        ),
-    )
-    rows = F.coalesce("job_rows", F.lit(1))
-    stands_for_match = F.col("first_of_day") & (F.coalesce("model_number", F.lit(1)) == 1)
+    executions = settle(executions, "client-executions")
+    job_rows = jobs.groupBy("job_key").agg(F.count("*").alias("job_rows"))
+    objects = refs.groupBy("job_key", OBJECT, "layer_used").agg(F.count("*").alias("references"))
     by_client = ["statement_date", OBJECT, "layer_used", "client_type"]
-    # First down to one row per user and model, where repeated use adds up before the distinct
-    # counts multiply the rows.
-    used = (
-        executions.join(models, "job_key", "left")
-        .join(refs.select("job_key", OBJECT, "layer_used"), "job_key")
-        .groupBy(*by_client, "user_key", "user_type", "dbt_execution_type", "dbt_model_name")
+    of_job = ["job_key", "statement_date", "client_type"]
+
+    each = F.coalesce("job_rows", F.lit(1)) * F.col("references")
+    totals = (
+        executions.groupBy(*of_job)
+        .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
+        .join(job_rows, "job_key", "left")
+        .join(objects, "job_key")
+        .groupBy(*by_client)
         .agg(
-            F.sum(F.col("n") * rows).alias("queries"),
-            F.sum(F.col("errors") * rows).alias("errors"),
-            F.count_if(stands_for_match).alias("matched"),
+            F.sum(F.col("n") * each).alias("total_queries_run"),
+            F.sum(F.col("errors") * each).alias("total_errors"),
         )
     )
 
-    def distinct_if(condition: Column, column: str) -> Column:
-        return F.count_distinct(F.when(condition, F.col(column)))
-
-    kind, user_type = F.col("dbt_execution_type"), F.col("user_type")
-    return used.groupBy(*by_client).agg(
-        F.sum("queries").alias("total_queries_run"),
-        distinct_if(kind == "DBT_RUN", "dbt_model_name").alias("dbt_models_run"),
-        distinct_if(kind == "DBT_TEST", "dbt_model_name").alias("dbt_tests_run"),
-        distinct_if(user_type == "User", "user_key").alias("total_human_users"),
-        distinct_if(user_type == "Service Account", "user_key").alias("total_service_accounts"),
-        F.sum("errors").alias("total_errors"),
-        F.sum("matched").alias("matched"),
+    def counted(rows: DataFrame, key: str, kind: str, kinds: dict[str, str]) -> DataFrame:
+        """Distinct keys of each kind."""
+        distinct = rows.join(objects, "job_key").select(*by_client, key, kind).distinct()
+        return distinct.groupBy(*by_client).agg(
+            *(F.count_if(F.col(kind) == value).alias(name) for name, value in kinds.items())
+        )
+
+    user_kinds = {"total_human_users": "User", "total_service_accounts": "Service Account"}
+    known = executions.filter(F.col("user_type").isin(*user_kinds.values()))
+    known = known.select(*of_job, "user_key", "user_type").distinct()
+    model_kinds = {"dbt_models_run": "DBT_RUN", "dbt_tests_run": "DBT_TEST"}
+    models = (
+        jobs.filter(F.col("dbt_execution_type").isin(*model_kinds.values()))
+        .filter("dbt_model_name IS NOT NULL")
+        .select("job_key", "dbt_execution_type", "dbt_model_name")
+        .distinct()
+    )
+    built = executions.select(*of_job).distinct().join(models, "job_key")
+    # Each part lacks the measures of the others; grouping takes missing client types together.
+    parts = totals.unionByName(
+        counted(known, "user_key", "user_type", user_kinds), allowMissingColumns=True
+    ).unionByName(
+        counted(built, "dbt_model_name", "dbt_execution_type", model_kinds), allowMissingColumns=True
+    )
+    return parts.groupBy(*by_client).agg(
+        *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _USE_MEASURES)
     )
 
 
@@ -388,19 +392,21 @@ def rpt_table_usage(
     executed. `since` reports the days from there on only. `use` is read twice.
     """
     day = [OBJECT, "statement_date"]
-    matches = use.groupBy(*day, "layer_used").agg(
-        F.sum("matched").alias("matched"),
-        F.bool_or(F.col("client_type").isNull()).alias("has_no_client"),
+    executed = _reported(facts, settings, since).select("job_key", "statement_date").distinct()
+    matches = (
+        executed.join(refs.select("job_key", OBJECT, "layer_used"), "job_key")
+        .groupBy(*day, "layer_used")
+        .agg(F.count("*").alias("matched"))
     )
+    # Use without client type takes the place of the row of zeros.
+    no_client = use.filter("client_type IS NULL").select(*day, "layer_used").distinct()
     objects = refs.groupBy(OBJECT, "layer_used").agg(F.count("*").alias("references"))
     spine = with_days(objects, _report_start(facts, settings, since), settings, "statement_date")
     zero = F.lit(0).cast("bigint")
     zeros = (
         spine.join(matches, [*day, "layer_used"], "left")
-        .filter(
-            (F.coalesce("matched", F.lit(0)) < F.col("references"))
-            & ~F.coalesce("has_no_client", F.lit(False))
-        )
+        .filter(F.coalesce("matched", F.lit(0)) < F.col("references"))
+        .join(no_client, [*day, "layer_used"], "left_anti")
         .select(
             *day,
             "layer_used",
@@ -418,8 +424,7 @@ def rpt_table_usage(
         + F.col("threat_score") * settings.priority_threat_weight
     )
     return (
-        use.drop("matched")
-        .unionByName(zeros)
+        use.unionByName(zeros)
         .join(threat.select(*day, "threat_score"), day, "left")
         .join(importance, day, "left")
         .select(
