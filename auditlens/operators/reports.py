@@ -335,45 +335,42 @@ def client_use(
     by_client = ["statement_date", OBJECT, "layer_used", "client_type"]
     of_job = ["job_key", "statement_date", "client_type"]
 
-    each = F.coalesce("job_rows", F.lit(1)) * F.col("references")
+    rows = F.coalesce("job_rows", F.lit(1))
     totals = (
         executions.groupBy(*of_job)
         .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
         .join(job_rows, "job_key", "left")
-        .join(objects, "job_key")
-        .groupBy(*by_client)
-        .agg(
-            F.sum(F.col("n") * each).alias("total_queries_run"),
-            F.sum(F.col("errors") * each).alias("total_errors"),
-        )
+        .select(*of_job, (F.col("n") * rows).alias("n"), (F.col("errors") * rows).alias("errors"))
     )
-
-    def counted(rows: DataFrame, key: str, kind: str, kinds: dict[str, str]) -> DataFrame:
-        """Distinct keys of each kind."""
-        distinct = rows.join(objects, "job_key").select(*by_client, key, kind).distinct()
-        return distinct.groupBy(*by_client).agg(
-            *(F.count_if(F.col(kind) == value).alias(name) for name, value in kinds.items())
-        )
-
     user_kinds = {"total_human_users": "User", "total_service_accounts": "Service Account"}
     known = executions.filter(F.col("user_type").isin(*user_kinds.values()))
-    known = known.select(*of_job, "user_key", "user_type").distinct()
+    known = known.select(*of_job, F.col("user_type").alias("kind"), F.col("user_key").alias("key"))
     model_kinds = {"dbt_models_run": "DBT_RUN", "dbt_tests_run": "DBT_TEST"}
     models = (
         jobs.filter(F.col("dbt_execution_type").isin(*model_kinds.values()))
         .filter("dbt_model_name IS NOT NULL")
-        .select("job_key", "dbt_execution_type", "dbt_model_name")
+        .select("job_key", F.col("dbt_execution_type").alias("kind"), F.col("dbt_model_name").alias("key"))
         .distinct()
     )
     built = executions.select(*of_job).distinct().join(models, "job_key")
-    # Each part lacks the measures of the others; grouping takes missing client types together.
-    parts = totals.unionByName(
-        counted(known, "user_key", "user_type", user_kinds), allowMissingColumns=True
-    ).unionByName(
-        counted(built, "dbt_model_name", "dbt_execution_type", model_kinds), allowMissingColumns=True
+    # Totals have no kind. Rows of users and models have no executions, and count once distinct.
+    parts = totals.unionByName(known.distinct().unionByName(built), allowMissingColumns=True)
+    times = F.col("references")
+    used = (
+        parts.join(objects, "job_key")
+        .groupBy(*by_client, "kind", "key")
+        .agg(
+            F.sum(F.col("n") * times).alias("total_queries_run"),
+            F.sum(F.col("errors") * times).alias("total_errors"),
+        )
     )
-    return parts.groupBy(*by_client).agg(
-        *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _USE_MEASURES)
+    return used.groupBy(*by_client).agg(
+        F.sum("total_queries_run").alias("total_queries_run"),
+        F.sum("total_errors").alias("total_errors"),
+        *(
+            F.count_if(F.col("kind") == value).alias(name)
+            for name, value in (user_kinds | model_kinds).items()
+        ),
     )
 
 
