@@ -111,6 +111,7 @@ class Warehouse:
         path = self._snapshot_path(name, 0 if current is None else current + 1)
         self._keep_schema(name, df)
         _clustered(df, cluster_by).write.mode("overwrite").parquet(path)
+        self._expire_snapshots(name)
         return self.read(name)
 
     # Reads
@@ -152,18 +153,25 @@ class Warehouse:
     def _snapshot_path(self, name: str, number: int) -> str:
         return f"{self.path(name)}/{_SNAPSHOT}{number:08d}"
 
-    def _latest_snapshot(self, name: str) -> int | None:
-        """Number of the last snapshot that was written to its end."""
+    def _snapshots(self, name: str) -> list[int]:
+        """Numbers of the snapshots that were written to their end, oldest first."""
         folder, files = self._folder(self.path(name))
         if not files.exists(folder):
-            return None
-        done = [
-            status.getPath().getName()
+            return []
+        return sorted(
+            int(status.getPath().getName().removeprefix(_SNAPSHOT))
             for status in files.listStatus(folder)
             if status.getPath().getName().startswith(_SNAPSHOT)
             and files.exists(status.getPath().suffix("/_SUCCESS"))
-        ]
-        return max((int(n.removeprefix(_SNAPSHOT)) for n in done), default=None)
+        )
+
+    def _latest_snapshot(self, name: str) -> int | None:
+        return max(self._snapshots(name), default=None)
+
+    def _expire_snapshots(self, name: str) -> None:
+        for number in self._snapshots(name)[: -self.settings.kept_snapshots]:
+            folder, files = self._folder(self._snapshot_path(name, number))
+            files.delete(folder, True)
 
 
 def _clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -74,8 +74,12 @@ class Settings:
 
     # Incremental runs take today and this many days before.
     lookback_days: int = 3
+    # Snapshots of an upserted table that stay for their readers, the latest included.
+    kept_snapshots: int = 3
 
     def __post_init__(self) -> None:
+        if self.kept_snapshots < 2:
+            raise ValueError("the snapshot before the latest has to stay for its readers")
         if self.pricing_schedule != "on_demand" and self.pricing_schedule not in self.slot_prices:
             raise ValueError(f"no price for schedule {self.pricing_schedule!r}")
 

@@ -50,6 +50,17 @@ def test_upsert(spark, warehouse):
         assert values(table, "key", "value") == [("a", 1), ("b", 2), ("c", 2), (None, 2)]
 
 
+def test_old_snapshots_expire(spark, warehouse, tmp_path):
+    for n in range(5):
+        before = warehouse.upsert("t", frame(spark, [("a", n, None), (f"k{n}", n, None)]), ["key"])
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == [
+        f"snapshot={n:08d}" for n in (2, 3, 4)
+    ]
+    # A reader of the latest snapshot is not disturbed by the next one.
+    warehouse.upsert("t", frame(spark, [("a", 9, None)]), ["key"])
+    assert values(before, "key", "value") == [("a", 4), *((f"k{n}", n) for n in range(5))]
+
+
 def test_a_snapshot_without_end_is_not_read(spark, warehouse, tmp_path):
     warehouse.upsert("t", frame(spark, [("a", 1, DAYS[0])]), ["key"])
     (tmp_path / "t" / "snapshot=00000007").mkdir()
