@@ -9,7 +9,6 @@ segment can be read alone.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +29,7 @@ PLANES = "byte"
 LEVEL = 3
 # Pieces of text whose ids a task remembers.
 CACHED_PIECES = 400_000
+PIECES_AT_ONCE = 4096
 
 SEGMENTS = """part int, seq long, doc_ids array<long>, lengths array<long>, n_ids long, planes string,
     chunk_index array<long>, payload binary"""
@@ -116,22 +116,24 @@ class _Encoder:
         return known[path]
 
     def _learn(self, new: list[bytes]) -> None:
-        coded = [
-            np.array(c.ids, np.uint32)
-            for i in range(0, len(new), 4096)
-            for c in self.tokenizer.encode_batch_fast([p.decode() for p in new[i : i + 4096]], add_special_tokens=False)
-        ]
-        length = np.fromiter(map(len, coded), np.int64, len(coded))
+        """Remember the ids of new pieces, encoded as the words of one text."""
+        ids, lengths = [self.flat], [np.zeros(0, np.int64)]
+        for i in range(0, len(new), PIECES_AT_ONCE):
+            pieces = [p.decode() for p in new[i : i + PIECES_AT_ONCE]]
+            coded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(coded.ids, np.uint32))
+            lengths.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(pieces)))
+        length = np.concatenate(lengths)
         self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(length) - length))
         self.length = np.concatenate((self.length, length))
-        self.flat = np.concatenate((self.flat, *coded)).astype(np.uint32)
+        self.flat = np.concatenate(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with the end id."""
         pieces: list[bytes] = []
         counts = []
         for text in texts:
-            found = _WORD_END.sub(b" \\1", text.encode().lower()).replace(b"\n", b" ").split(b" ")
+            found = _cut_at_word_ends(text.encode().lower()).replace(b"\n", b" ").split(b" ")
             pieces += found
             counts.append(len(found))
         known, used = len(self.number), len(self.flat)
@@ -149,7 +151,17 @@ class _Encoder:
         return [np.append(p, np.uint32(END_ID)) for p in np.split(ids, ends[:-1])]
 
 
-_WORD_END = re.compile(rb"(?<=[0-9a-z])([.,])(?=[ \n]|$)")
+_PLAIN = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", np.uint8))
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \n", np.uint8))
+
+
+def _cut_at_word_ends(text: bytes) -> bytes:
+    """The text with a blank between a plain letter or digit and a full stop or comma that ends a word."""
+    data = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero((data == ord(".")) | (data == ord(",")))
+    at = at[_PLAIN[data[at - 1]] & (at > 0)]
+    at = at[(at == len(data) - 1) | _BLANK[data[np.minimum(at + 1, len(data) - 1)]]]
+    return np.insert(data, at, ord(" ")).tobytes() if len(at) else text
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, planes: str = PLANES) -> None:
