@@ -176,7 +176,7 @@ def _extend(words: _Words, length: int, tables: list, plain: list[bytes], ids: l
         if _plain(words, s, length) == plain[p]:
             first = s - int(words.first[d])
             if hits[d] and hits[d][-1][0] <= first <= hits[d][-1][1]:
-                hits[d][-1] = (hits[d][-1][0], first + length)
+                hits[d][-1] = (hits[d][-1][0], max(hits[d][-1][1], first + length))
             else:
                 hits[d].append((first, first + length))
             items[d].update(ids[i] for i in item[at[p] : at[p + 1]].tolist() if ids[i] is not None)
