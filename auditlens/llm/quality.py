@@ -14,7 +14,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import SPACES, WORD, let, native_count
+from auditlens.llm.common import SPACES, WORD, let, native_count, shuffle_partitions
 from auditlens.session import settle
 
 WINDOW_WORDS = 5
@@ -36,7 +36,9 @@ MIN_ROWS = 10 * DIMENSIONS
 
 _X = [f"x{i}" for i in range(DIMENSIONS)]
 _PAIRS = list(combinations_with_replacement(range(DIMENSIONS), 2))
-_GROUP = ["group_lang", "group_source"]
+# The last column follows from the others: whether the group is hot.
+_GROUP = ["group_lang", "group_source", "hot"]
+_PAIR = ["lang_name", "source_name"]
 
 
 def _repeated_words(words: Column) -> Column:
@@ -120,20 +122,55 @@ def _named(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("NULL"))
 
 
+def _join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], hot: str, how: str = "inner") -> DataFrame:
+    """Join with a table of which some keys are marked as hot, so that no task gets all rows of one.
+
+    A hot key holds more than one in `shuffle partitions` of all rows, so there are fewer of them than
+    partitions, and their part of the table is broadcast. The other keys meet in a shuffle, in which
+    the rows that have found theirs, or have none, are dealt out by their hash `__spread`.
+    """
+    values = [c for c in table.columns if c not in (*keys, hot)]
+    few = table.filter(hot).select(*keys, F.struct(*values).alias("__few"))
+    # A column, not a literal: a literal would be folded and taken out of the keys of the shuffle.
+    many = table.filter(~F.col(hot)).withColumn("__deal", F.col(hot).cast("long"))
+    many = many.select(*keys, "__deal", F.struct(*values).alias("__many"))
+    open_ = F.col("__few").isNull()
+    for k in keys:
+        open_ = open_ & F.col(k).isNotNull()
+    met = rows.join(F.broadcast(few), list(keys), "left")
+    met = met.withColumn("__deal", F.when(open_, F.lit(0)).otherwise(F.abs(F.col("__spread") % 2**40) + 1))
+    met = met.join(many, [*keys, "__deal"], "left").withColumn("__met", F.coalesce("__few", "__many"))
+    if how == "inner":
+        met = met.filter("__met IS NOT NULL")
+    return met.select(*rows.columns, *(F.col("__met").getField(v).alias(v) for v in values))
+
+
 def _pooled_groups(rows: DataFrame) -> DataFrame:
-    """Rows (lang_name, source_name, group_lang, group_source): the group that a pair counts in."""
-    pairs = rows.groupBy("lang_name", "source_name").agg(F.count("*").alias("n"))
+    """Rows (lang_name, source_name, hot_pair, group_lang, group_source, hot): the group of each pair.
+
+    Sizes of groups are those of the rows that count, a pair is hot by all its rows.
+    """
+    partitions = shuffle_partitions(rows.sparkSession)
+    pairs = rows.groupBy(*_PAIR).agg(F.count_if(~F.col("base_failed")).alias("n"), F.count("*").alias("all"))
     pairs = pairs.withColumn("group_source", F.when(F.col("n") >= MIN_ROWS, F.col("source_name")).otherwise("*"))
     pools = pairs.groupBy("lang_name", "group_source").agg(F.sum("n").alias("pool"))
-    pairs = pairs.join(pools, ["lang_name", "group_source"])
     small = F.col("pool") < MIN_ROWS
-    return settle(
-        pairs.select(
-            "lang_name",
-            "source_name",
+    pairs = settle(
+        pairs.join(pools, ["lang_name", "group_source"]).select(
+            *_PAIR,
+            "all",
             F.when(small, F.lit("*")).otherwise(F.col("lang_name")).alias("group_lang"),
             F.when(small, F.lit("*")).otherwise(F.col("group_source")).alias("group_source"),
         ),
+        "quality-pairs",
+    )
+    total = pairs.agg(F.sum("all")).first()[0] or 0
+    is_hot = F.col("all") * partitions > total
+    sizes = pairs.groupBy("group_lang", "group_source").agg(F.sum("all").alias("all"))
+    hot = sizes.filter(is_hot).select("group_lang", "group_source", F.lit(True).alias("hot"))
+    groups = pairs.join(F.broadcast(hot), ["group_lang", "group_source"], "left")
+    return settle(
+        groups.select(*_PAIR, is_hot.alias("hot_pair"), *_GROUP[:2], F.coalesce("hot", F.lit(False)).alias("hot")),
         "quality-groups",
     )
 
@@ -204,9 +241,9 @@ def _concentrated(scored: DataFrame, name: str) -> DataFrame:
     return settle(out, f"quality-{name}")
 
 
-def _with_distance(rows: DataFrame, estimates: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the squared Mahalanobis distance of each row, by forward substitution."""
-    joined = rows.join(estimates, list(keys), how)
+    joined = _join_hot(rows, estimates, _GROUP, "hot", how)
     for i in range(DIMENSIONS):
         y = F.col(_X[i]) / GRID - F.col(f"m_{_X[i]}")
         for k in range(i):
@@ -224,10 +261,10 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     lower the determinant.
     """
     median = _median_by_group(vectors, "median")
-    centered = vectors.join(median, _GROUP)
+    centered = _join_hot(vectors, median, _GROUP, "hot")
     deviation = centered.select(*_GROUP, *(F.abs(F.col(x) - F.col(f"median_{x}")).alias(x) for x in _X))
     spread = _median_by_group(deviation, "spread")
-    joined = centered.join(spread, _GROUP)
+    joined = _join_hot(centered, spread, _GROUP, "hot")
     z = [
         F.abs(F.col(x) - F.col(f"median_{x}")) / F.greatest(1.4826 * F.col(f"spread_{x}"), F.lit(least * GRID))
         for x, least in zip(_X, LEAST_SPREAD)
@@ -243,7 +280,7 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     scored = joined.select(*_GROUP, *_X, starts.alias("s")).select(*_GROUP, *_X, "s.*")
     estimates = _concentrated(scored, "start")
     for step in range(STEPS):
-        scored = _with_distance(vectors, estimates, _GROUP)
+        scored = _with_distance(vectors, estimates)
         estimates = _concentrated(scored, f"step-{step}")
     names = [c for c in estimates.columns if c not in (*_GROUP, "start", "log_det")]
     best = estimates.groupBy(*_GROUP).agg(F.min(F.struct("log_det", "start", *names)).alias("e"))
@@ -258,22 +295,25 @@ def judged(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     that failed the base rules do not count in the estimates. A row whose pool is still too small to
     estimate has no distance and is kept, as far as the base rules go.
     """
-    stats = base_statistics(docs.select(*dict.fromkeys([*keep, "text", "lang", "source"])))
+    docs = docs.select(*dict.fromkeys([*keep, "text", "lang", "source"]))
+    stats = base_statistics(docs.withColumn("__spread", F.xxhash64(*docs.columns)))
     stats = stats.withColumns({"lang_name": _named("lang"), "source_name": _named("source"), **_transformed()})
     drop = [c for c in ("text", "lang", "source") if c not in keep]
     stats = stats.drop(*drop)
-    if "text" not in keep:
-        stats = settle(stats, "quality-statistics")
-    vectors = stats.filter(~F.col("base_failed")).select("lang_name", "source_name", *_X)
-    vectors = settle(vectors, "quality-vectors")
-    groups = _pooled_groups(vectors)
-    vectors = vectors.join(groups, ["lang_name", "source_name"]).select(*_GROUP, *_X)
-    estimates = robust_estimates(vectors)
-    placed = stats.join(groups, ["lang_name", "source_name"], "left")
-    result = _with_distance(placed, estimates, _GROUP, "left")
+    narrow = [*_PAIR, "base_failed", "__spread", *_X]
+    if "text" in keep:
+        rows = settle(stats.select(*narrow), "quality-vectors")
+    else:
+        rows = stats = settle(stats, "quality-statistics")
+    groups = _pooled_groups(rows)
+    good = rows.filter(~F.col("base_failed")).select(*_PAIR, "__spread", *_X)
+    vectors = _join_hot(good, groups, _PAIR, "hot_pair").select(*_GROUP, "__spread", *_X)
+    estimates = robust_estimates(settle(vectors, "quality-grouped"))
+    placed = _join_hot(stats, groups, _PAIR, "hot_pair", "left")
+    result = _with_distance(placed, estimates, "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     helpers = [c for c in result.columns if c[:2] in ("m_", "l_", "y_")]
-    return result.withColumn("kept", kept).drop(*helpers, *_X, *_GROUP, "lang_name", "source_name", "total")
+    return result.withColumn("kept", kept).drop(*helpers, *_X, *_GROUP, *_PAIR, "__spread", "total")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

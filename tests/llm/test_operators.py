@@ -174,6 +174,21 @@ def test_outliers(documents):
     assert junk.filter("kept").count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 8, 1000])
+def test_hot_keys_join_like_others(spark, partitions):
+    """However many keys count as hot, the rows and verdicts are those of a plain join."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 40)).alias("key"),
+        F.col("id").alias("__spread"),
+    )
+    counts = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+    table = counts.filter("key <> 'k7'").withColumn("is_hot", F.col("n") * partitions > 600)
+    for how in ("inner", "left"):
+        found = quality._join_hot(rows, table, ["key"], "is_hot", how)
+        plain = rows.join(table.drop("is_hot"), ["key"], how)
+        same([tuple(r) for r in found.select("key", "__spread", "n").collect()], [tuple(r) for r in plain.select("key", "__spread", "n").collect()])
+
+
 def test_good_rows_keep_their_columns(odd):
     kept = quality.keep_good(odd)
     assert kept.columns == odd.columns and kept.filter("doc_id = 7").count() == 1 and kept.filter("doc_id = 2").count() == 0
@@ -338,6 +353,17 @@ def test_contamination(spark, docs, monkeypatch, block):
     same([tuple(r) for r in decontaminate.contamination_report(docs, items).collect()], expected)
 
 
+@pytest.mark.parametrize("block", [4 << 20, 1])
+def test_runs_of_several_windows(spark, monkeypatch, block):
+    """A long run of a short item is not cut by a window of a longer one that begins inside it."""
+    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", block)
+    items = [(1, "a b"), (2, "b a b a b"), (3, "a b a b a b a b a b c")]
+    text = [(1, "x " + "a b " * 30 + "y a b a b"), (2, "a b a b a b a b a b c d"), (3, "")]
+    rows, bench = spark.createDataFrame(text, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination_report(rows, bench)
+    same([tuple(r) for r in found.collect()], contamination(text, items))
+
+
 def test_clean_rows_stay(spark, odd):
     items = spark.createDataFrame([(1, "all rights reserved")], "item_id long, text string")
     kept = decontaminate.drop_contaminated(odd, items)
