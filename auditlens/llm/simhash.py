@@ -32,23 +32,31 @@ KEY_ROWS = 8192
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def _fingerprint(text: bytes, width: int) -> int:
-    """SimHash of the word shingles of a text, repeats included; 0 without a word."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, repeats included. A text with fewer words is one shingle."""
     words = text.translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) + np.arange(len(words))
     begins = np.concatenate(([0], ends[:-1] + 1))
     view, digest = memoryview(joined), xxhash.xxh64_intdigest
     n = len(words) - width + 1
-    hashes = np.fromiter(
+    return np.fromiter(
         [digest(view[i:j], SEED) for i, j in zip(begins[:n].tolist(), ends[width - 1 :].tolist())],
         np.uint64,
         n,
     )
+
+
+def _fingerprint(text: bytes, width: int) -> int:
+    """SimHash of the word shingles of a text, repeats included; 0 without a word."""
+    hashes = shingle_hashes(text, width)
+    n = len(hashes)
+    if n <= 1:
+        return int(hashes[0]) if n else 0
     ones = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 15):
         bits = np.unpackbits(hashes[i : i + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -118,7 +126,7 @@ def _table_rows(prints: DataFrame, segments: int, distance: int) -> DataFrame:
     return rows.select("e.key", "e.asks", "fp")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def dealt(rows: DataFrame) -> DataFrame:
     """Adds `part`: parts of a key that together hold every pair of a member and another row.
 
     Members and questions of a key are cut by a hash into groups of about KEY_ROWS; every pair of
@@ -198,7 +206,7 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, segments: int = SEGME
     Every pair of fingerprints is looked at that shares a table key; no pair becomes a row but
     those that join two classes of a task. No link between different classes is lost.
     """
-    rows = _dealt(_table_rows(prints, segments, distance))
+    rows = dealt(_table_rows(prints, segments, distance))
     rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "asks", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +262,11 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     Of rows that repeat this doc_id, the first by text stays. Rows without doc_id stay.
     """
     found = near_duplicates(docs, **options)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    return drop_others(docs, found.filter("doc_id = component_id").select("doc_id").distinct())
+
+
+def drop_others(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of the given doc_id, of each the first by text, and all rows without doc_id."""
     with_id = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
     order = [F.col(c) for c in docs.columns if c != "doc_id"]
     one = with_id.groupBy("doc_id").agg(F.min(F.struct(*order)).alias("r")).select("doc_id", "r.*")
