@@ -8,6 +8,8 @@ have equal anchors, so suffixes need to be sorted only next to others with the s
 2. Where a gram stands in different surroundings, the suffixes around it are sorted: by multikey
    quicksort to a shallow depth, and groups that are still equal there by blind tries. Suffixes
    equal over 50 bytes end in one leaf, and the least doc_id of the leaf stays.
+3. A gram with very many surroundings is not sorted in one task: its suffixes meet by a hash of
+   their 50 bytes, and the least doc_id of each hash is an aggregate.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ BEFORE = LENGTH - GRAM
 SHALLOW = 2
 # Surroundings that are sorted at once. A gram with more of them is sorted offset by offset.
 AT_ONCE = 4096
+# A gram with more surroundings than this is not brought to one task.
+HOT_ROWS = 4096
 
 _TAG_BITS = 40
 
@@ -286,12 +290,39 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _sorted_around(rest)
 
 
-def _sorted_around(table: pa.Table) -> pa.RecordBatch:
-    gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
-    around = table.column("around").combine_chunks()
+def _bytes_of(around: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all surroundings, and where each begins in them and the last ends."""
     around = around.cast(pa.large_binary())
     offsets = np.frombuffer(around.buffers()[1], np.int64)[around.offset : around.offset + len(around) + 1]
-    data = np.frombuffer(around.buffers()[2], np.uint8)
+    return np.frombuffer(around.buffers()[2], np.uint8), offsets
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (gram, h, doc_id, tag, span) of all suffixes around anchors; h is the hash of a suffix."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, AT_ONCE):
+            rows = batch.slice(first, AT_ONCE)
+            data, offsets = _bytes_of(rows.column("around"))
+            data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+            gram, doc, place = (rows.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
+            at = place & ((1 << _TAG_BITS) - 1)
+            left = np.minimum(at, BEFORE)
+            ahead = np.arange(BEFORE + 1)
+            row, ahead = np.nonzero((ahead <= left[:, None]) & (left[:, None] - ahead + LENGTH <= np.diff(offsets)[:, None]))
+            start = offsets[row] + left[row] - ahead
+            h = range_hash(prefix_sums(data), start, start + LENGTH)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(gram[row]), pa.array(h.view(np.int64)), pa.array(doc[row]),
+                    pa.array(place[row] >> _TAG_BITS), pa.array((at[row] - ahead) * 256 + LENGTH),
+                ],
+                names=["gram", "h", "doc_id", "tag", "span"],
+            )
+
+
+def _sorted_around(table: pa.Table) -> pa.RecordBatch:
+    gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
+    data, offsets = _bytes_of(table.column("around").combine_chunks())
     length = np.diff(offsets)
     left = np.minimum(place & ((1 << _TAG_BITS) - 1), BEFORE)
     group = np.cumsum(_runs(gram))
@@ -385,14 +416,21 @@ def removed_passages(docs: DataFrame) -> DataFrame:
     )
     by_id = known.repartition("doc_id")
     around = F.substring(F.col("text").cast("binary"), start.cast("int") + 1, (F.col("at") + LENGTH - start).cast("int"))
+    grams = met.filter("gram IS NOT NULL")
+    hot = settle(grams.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select("gram"), "hot-grams")
+    with_around = lambda rows: rows.join(by_id, ["doc_id", "tag"]).select("gram", "doc_id", "place", around.alias("around"))
     compared = (
-        met.filter("gram IS NOT NULL")
-        .join(by_id, ["doc_id", "tag"])
-        .select("gram", "doc_id", "place", around.alias("around"))
+        with_around(grams.join(hot, "gram", "left_anti"))
         .repartition("gram")
         .sortWithinPartitions("gram")
         .mapInArrow(_compare, "doc_id long, tag long, span long")
     )
+    if not hot.isEmpty():
+        suffixes = with_around(grams.join(hot, "gram", "left_semi"))
+        suffixes = settle(suffixes.mapInArrow(_spread, "gram long, h long, doc_id long, tag long, span long"), "hot-suffixes")
+        least = suffixes.groupBy("gram", "h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        later = suffixes.join(least.filter("least < most"), ["gram", "h"]).filter("doc_id > least")
+        compared = compared.unionByName(later.select("doc_id", "tag", "span"))
     spans = whole.unionByName(compared).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
     found = by_id.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
     unknown = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<long>").alias("spans"))

@@ -351,6 +351,33 @@ def test_passages(docs, monkeypatch, at_once):
     same([tuple(r) for r in found], without_passages([(d, (t or "").encode()) for d, t in texts(docs)]))
 
 
+@pytest.mark.parametrize("hot_rows", [0, 40])
+def test_passages_of_hot_grams(spark, monkeypatch, hot_rows):
+    """A passage in other surroundings in each document: no task gets all rows of its gram."""
+    rng = np.random.default_rng(4)
+    some = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    passage = some(75)
+    rows = [(i, some(40 + i % 7) + passage + some(60 - i % 5)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = list(without_passages([(d, t.encode()) for d, t in rows]))
+    monkeypatch.setattr(suffixes, "HOT_ROWS", hot_rows)
+    plain, limit = suffixes._sorted_around, max(hot_rows, 1)
+
+    def bounded(table):
+        assert max(collections.Counter(table.column("gram").to_pylist()).values()) <= limit
+        return plain(table)
+
+    monkeypatch.setattr(suffixes, "_sorted_around", bounded)
+    compare = suffixes._compare
+
+    def checked(batches):  # runs in the workers, which import the module anew
+        suffixes._sorted_around = bounded
+        yield from compare(batches)
+
+    monkeypatch.setattr(suffixes, "_compare", checked)
+    same([tuple(r) for r in suffixes.removed_passages(docs).drop("removed").collect()], expected)
+
+
 def test_blind_trie_sorts():
     rng = np.random.default_rng(3)
     strings = [bytes(rng.integers(97, 100, 12).astype(np.uint8)) for _ in range(300)]
