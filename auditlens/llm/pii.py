@@ -32,12 +32,13 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
 # Generators: kind, something every match holds (a pattern, lower case), pattern. Kinds are listed
-# after the base kinds, in this order.
+# after the base kinds, in this order. Repeats of secrets, keys and numbers are open, so that no match
+# is cut short, and possessive, so that they cost linear time. A key holds a digit.
 GENERATORS = (
     ("secret", "token|secret|passw|pwd|api|key|auth|bearer",
-     r"(?i)(?<![a-z0-9])(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer)[\"']?\s{0,3}[:= ]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{8,200}+"),
-    ("key", "[0-9]", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]{0,40}[0-9])[A-Za-z0-9+/=_-]{16,200}+"),
-    ("number", "[0-9]", r"(?<![0-9])[0-9(](?:[\x20().,:/-]{0,2}[0-9]){6,60}+"),
+     r"(?i)(?<![a-z0-9])(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer)[\"']?\s{0,3}[:= ]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{8,}+"),
+    ("key", "[0-9]", r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{16,}+"),
+    ("number", "[0-9]", r"(?<![0-9])[0-9(](?:[\x20().,:/-]{0,2}[0-9]){6,}+"),
     ("contact", r" at |\(at\)|\[at\]",
      r"(?i)[A-Za-z0-9._%+-]{1,64}+\s?(?:\(at\)|\[at\]| at )\s?[A-Za-z0-9-]{1,63}\s?(?:\(dot\)|\[dot\]| dot |\.)\s?[A-Za-z]{2,24}"),
 )
@@ -152,7 +153,7 @@ def _features(text: Column, generator: int, span: Column) -> Column:
             _binned(F.length(F.regexp_replace(m, "[^A-Za-z]", "")), (1, 6, 20)),
             _binned(F.length(F.regexp_replace(m, "[A-Za-z0-9]", "")), (1, 2, 4)),
             _binned(F.length(m), (10, 16, 24, 36, 60)),
-            F.when(m.rlike("(?i)[0-9a-f]{16,}+[\"']?$"), 1).otherwise(0),
+            F.when(m.rlike("(?i)(?<![0-9a-f])[0-9a-f]{16,}+[\"']?$"), 1).otherwise(0),
             F.when(before.endswith("+"), 1).otherwise(0),
             F.when(before.rlike(_CONTEXT_WORDS), 1).otherwise(0),
             _side(F.right(before, F.lit(1))),
@@ -185,8 +186,11 @@ def _candidates(text: Column) -> Column:
     """All spans that the generators propose, with their features."""
     found = []
     low = F.lower(text)
-    for i, (_, gate, pattern) in enumerate(GENERATORS):
-        spans = F.transform(spans_of(text, pattern), _candidate(text, i))
+    for i, (kind, gate, pattern) in enumerate(GENERATORS):
+        spans = spans_of(text, pattern)
+        if kind == "key":
+            spans = F.filter(spans, lambda s: _text_of(text, s).rlike("[0-9]"))
+        spans = F.transform(spans, _candidate(text, i))
         gated = (text if gate == "[0-9]" else low).rlike(gate)
         found.append(F.when(gated, spans).otherwise(F.array().cast(_CANDIDATE)))
     return F.concat(*found)
@@ -318,8 +322,8 @@ def train(docs: DataFrame) -> Trees:
 def found_in(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     """Adds base (spans by base kind) and added (kind, start, finish, score), selected by the trees.
 
-    A selected candidate that overlaps a base span adds nothing and is left out; of selected ones
-    that overlap each other, the one with the better score stays, then the longer, then the first.
+    A selected candidate that overlaps a base span adds nothing and is left out. The others are taken
+    by score, then the longer, then the first, each unless it overlaps one that was taken.
     """
     model = model or train(docs)
     kinds = F.array(*(F.lit(g[0]) for g in GENERATORS))
@@ -339,14 +343,14 @@ def found_in(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     passed = F.filter(scored, lambda c: (c["score"] > F.get(bounds, c["generator"])) & ~_overlaps(_all_base(base), c))
 
     def apart(cs: Column) -> Column:
-        better = lambda c: F.exists(
-            cs,
-            lambda o: (o["start"] < c["finish"])
-            & (c["start"] < o["finish"])
-            & (F.struct(o["score"], o["length"], o["order"], o["generator"]) > F.struct(c["score"], c["length"], c["order"], c["generator"])),
+        # Sorted by score, length, order and generator, which are the first fields.
+        taken = F.aggregate(
+            F.sort_array(cs, asc=False),
+            F.filter(cs, lambda c: F.lit(False)),
+            lambda acc, c: F.when(_overlaps(acc, c), acc).otherwise(F.concat(acc, F.array(c))),
         )
         return F.transform(
-            F.filter(cs, lambda c: ~better(c)),
+            taken,
             lambda c: F.struct(
                 F.get(kinds, c["generator"]).alias("kind"),
                 c["start"].alias("start"),

@@ -511,3 +511,16 @@ def test_redaction(spark, odd):
     assert "@e.f" not in out[8] and "[ip]" in out[8] and out[1] is None and out[2] == ""
     assert "24be64439e3e49cf" not in out[11]
     assert pii.redacted(odd, model).columns == odd.columns
+
+
+def test_long_credentials_and_chains(spark):
+    """A match is never cut to a prefix, and one that goes makes room for others."""
+    everything = pii.Trees(0.0, (), (-1.0,) * len(pii.GENERATORS))
+    jwt = "eyJhbGciOiJIUzI1NiJ9" * 18
+    rows = [(1, f"see token: {jwt} end"), (2, f"see {jwt} end"), (3, "see " + "Q" * 60 + "7abc end"),
+            (4, "see " + "1234 5678 " * 20 + "end"), (5, "see " + "Q" * 60 + " end"),
+            (6, "12 34 56 78 90 12 34 56 78 9012345abcdefghij_token:Zz345678")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.redacted(docs, everything).collect()}
+    assert out == {1: "see [secret] end", 2: "see [key] end", 3: "see [key] end", 4: "see [number] end",
+                   5: rows[4][1], 6: "[number]abcdefghij_[secret]"}
