@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import pytest
 
-from conftest import values
+from rows import values
 from auditlens.operators.dates import calendar_spine, dim_date, first_day, with_days
 from auditlens.sources.event_log import FIXTURE_SETTINGS as SETTINGS
 

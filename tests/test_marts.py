@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import values
+from rows import values
 from auditlens import CustomClient, Settings
 from auditlens.functions.columns import cost
 from auditlens.operators import marts

@@ -4,7 +4,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from auditlens.plans.pipeline import DIMENSIONS, Build
 from auditlens.plans.warehouse import Warehouse
 from auditlens.sources.event_log import FIXTURE_SETTINGS as SETTINGS

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import values
+from rows import values
 from auditlens.functions import joins
 from auditlens.functions.ranks import percent_ranks
 

@@ -1,6 +1,6 @@
 import json
 
-from conftest import values
+from rows import values
 from auditlens.operators.staging import stage_audit_log
 from auditlens.sources.audit_log import LOG_SCHEMA, read_logs
 

@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import pytest
 
-from conftest import values
+from rows import values
 from auditlens.plans.warehouse import Warehouse, upsert_by_key
 from auditlens.session import FOLDER_SETTING, settle, shared_folder
 from auditlens.sources.event_log import FIXTURE_SETTINGS as SETTINGS
