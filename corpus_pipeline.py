@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import decontaminate, mixing, quality, similar, tokens
+from auditlens.llm import decontaminate, mixing, quality, simhash, tokens
 from auditlens.llm.common import read_table
 from auditlens.llm.queries import TOKENIZER
 from auditlens.session import settle
@@ -17,8 +17,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class that shares four fifths of its five-word shingles."""
-    return similar.drop_similar(docs)
+    """One document of each class that fingerprints of four words at up to four bits link."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
