@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -107,3 +110,88 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
         out = pick(out[:-step], out[step:])
         done += step
     return out
+
+
+# Pieces of text, each different one worked on once.
+
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of a block on as one number; zeros follow the block."""
+    return np.ndarray(len(data) + 1, "<u8", np.concatenate((data, np.zeros(9, np.uint8))), strides=1)
+
+
+def same_bytes(a: np.ndarray, begin: np.ndarray, b: np.ndarray, other: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the bytes of `a` from begin on are those of `b` from other on. Both are `eight_bytes`."""
+    same = np.ones(len(length), dtype=bool)
+    rows = np.flatnonzero(length > 0) if a is not b else np.flatnonzero((length > 0) & (begin != other))
+    at = 0
+    while len(rows):
+        mask = _LOW_BYTES[np.minimum(length[rows] - at, 8)]
+        equal = (a[begin[rows] + at] ^ b[other[rows] + at]) & mask == 0
+        same[rows[~equal]] = False
+        at += 8
+        rows = rows[equal]
+        rows = rows[length[rows] > at]
+    return same
+
+
+def distinct_pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different piece of a block, and the number of each piece among these.
+
+    Pieces meet by hash and are then compared byte by byte; one that differs from the first of its
+    hash is on its own.
+    """
+    _, first, number = np.unique(range_hash(prefix_sums(data), begin, end), return_index=True, return_inverse=True)
+    words, length, like = eight_bytes(data), end - begin, first[number]
+    same = (length == length[like]) & same_bytes(words, begin, words, begin[like], np.minimum(length, length[like]))
+    odd = np.flatnonzero(~same)
+    number[odd] = len(first) + np.arange(len(odd))
+    return np.concatenate((first, odd)), number
+
+
+def gathered(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of all members of the given ranges, range after range."""
+    upto = np.cumsum(length)
+    return np.repeat(begin - upto + length, length) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps over all tasks it runs. A lost worker only has to learn anew.
+
+    Functions travel to the workers by value, so a variable of their module lasts one task only.
+    """
+    module = sys.modules.setdefault("_auditlens_llm_worker", ModuleType("_auditlens_llm_worker"))
+    return vars(module).setdefault("cache", {})
+
+
+class PieceIds:
+    """Token ids of pieces of text. A worker remembers short pieces, those it sees first."""
+
+    LIMIT = 400_000
+    SHORT = 64
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, bytes] = {}
+
+    def of(
+        self,
+        data: np.ndarray,
+        begin: np.ndarray,
+        end: np.ndarray,
+        encode: Callable[[list[bytes]], Iterable[list[int]]],
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has. `encode` gives the ids of new pieces."""
+        first, number = distinct_pieces(data, begin, end)
+        text = data.tobytes()
+        pieces = [text[i:j] for i, j in zip(begin[first].tolist(), end[first].tolist())]
+        found = list(map(self.known.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, encode([pieces[i] for i in new])):
+            found[i] = array("I", ids).tobytes()
+            if len(self.known) < self.LIMIT and len(pieces[i]) <= self.SHORT:
+                self.known[pieces[i]] = found[i]
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        return flat[gathered((np.cumsum(counts) - counts)[number], counts[number])], counts[number]

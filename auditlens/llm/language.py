@@ -7,7 +7,6 @@ of languages is the one with the best likelihood less a penalty for each languag
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +28,6 @@ DOCUMENTS_AT_ONCE = 32
 
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _letters: list[np.ndarray] = []
 
 
@@ -163,7 +161,8 @@ def predict(docs: DataFrame, model: LanguageModel, keep: Sequence[str]) -> DataF
 
     Returns the columns `keep` of `docs` with lang_pred, score and languages (array of name and
     share, largest first). A text that is NULL or has no letter is `und` with score 0 and no
-    languages, and so is all if nothing was learned. Rows are neither dropped nor merged.
+    languages, and so is all if nothing was learned. Of languages with equal shares the first in code
+    point order is named. Texts of any length are read whole. Rows are neither dropped nor merged.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.probabilities))
     fields = [docs.schema[c] for c in keep]
@@ -202,7 +201,7 @@ def _identify(
     out: list[tuple[str, float, list[tuple[str, float]]]] = [(UNKNOWN, 0.0, [])] * len(texts)
     if not names:
         return out
-    readable = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+    readable = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
     slots, document = _trigrams([texts[i] for i in readable])
     counts = np.bincount(document * SLOTS + slots, minlength=len(readable) * SLOTS)
     entries = np.flatnonzero(counts)

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
+from auditlens.llm import bpe, decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
 from auditlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,17 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path(RANKS))
+    rows = bpe.encoded(read_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+    return bpe.decoded(rows, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -84,6 +96,7 @@ def queries() -> dict[str, Query]:
             op8_winnowing_hits,
             op9_plane_tokens,
             op10_boosted_pii,
+            op13_two_tier_bpe,
         )
     }
 

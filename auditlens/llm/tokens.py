@@ -9,6 +9,7 @@ segment can be read alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import blocks
+from auditlens.llm.common import blocks, worker_cache
 from auditlens.session import shared_folder
 
 END_ID = 1
@@ -92,29 +93,21 @@ class _Encoder:
 
     Texts are cut at blanks and line ends, which the tokenizer drops and never joins tokens across,
     and between an ASCII letter or digit and a full stop or comma that ends a word, where its own
-    pattern cuts as well. ASCII letters are lower-cased first, as it does itself. So the ids are
-    those of the whole text.
+    pattern cuts as well. ASCII letters are lower-cased first, as it does itself. The tokenizer looks
+    for its special tokens before it lower-cases, so a text that may hold one is encoded whole. So
+    the ids are those of the whole text.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.may_be_special = re.compile("|".join(map(re.escape, special)), re.I) if special else None
         self.number = _Numbers({b"": 0})
         self.flat = np.zeros(0, np.uint32)
         self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    @classmethod
-    def of_worker(cls, path: str) -> _Encoder:
-        """The encoder of a worker process, kept beside the library over all tasks it runs, with
-        what it remembers. A lost worker only has to learn anew."""
-        import tokenizers
-
-        known = vars(tokenizers).setdefault("_auditlens_encoders", {})
-        if path not in known:
-            known[path] = cls(path)
-        return known[path]
-
     def _learn(self, new: list[bytes]) -> None:
         """Remember the ids of new pieces, encoded as the words of one text."""
         ids, lengths = [self.flat], [np.zeros(0, np.int64)]
@@ -130,6 +123,16 @@ class _Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with the end id."""
+        whole = [i for i, t in enumerate(texts) if self.may_be_special and self.may_be_special.search(t)]
+        if not whole:
+            return self._encode_pieces(texts)
+        coded = self._encode_pieces(["" if i in set(whole) else t for i, t in enumerate(texts)])
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            coded[i] = np.array([*ids, END_ID], np.uint32)
+        return coded
+
+    def _encode_pieces(self, texts: list[str]) -> list[np.ndarray]:
         pieces: list[bytes] = []
         counts = []
         for text in texts:
@@ -174,7 +177,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, planes: str =
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = _Encoder.of_worker(tokenizer), TaskContext.get().partitionId(), 0
+        known = worker_cache()
+        encoder = known.get(("encoder", tokenizer)) or known.setdefault(("encoder", tokenizer), _Encoder(tokenizer))
+        part, seq = TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         coded: list[np.ndarray] = []
 

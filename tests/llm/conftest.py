@@ -19,6 +19,8 @@ ROWS = [
     (None, LONG, "en", "a", 1),
     (11, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" 12 34', None, "c", 1),
     (12, "Word. word, 3.5 ... don't! ÄÖ.", "de", "c", 1),
+    (13, "Stop <|ENDOFTEXT|> here, <|endoftext|>. <s> <0x41> ▁ \u3000 end ", "de", "c", 1),
+    (14, "½ ① ²", "de", "c", 1),
 ]
 
 

@@ -21,7 +21,6 @@ from auditlens.llm import (
     pii,
     quality,
     sharding,
-    similar,
     simhash,
     suffixes,
     tokens,
@@ -135,45 +134,7 @@ def test_links_of_hot_keys(spark, monkeypatch, distance, segments):
 
 def test_one_of_each_class_stays(odd):
     kept = [r.doc_id for r in simhash.drop_near_duplicates(odd).collect()]
-    assert sorted(d for d in kept if d) == [1, 4, 7, 8, 9, 10, 11, 12] and kept.count(None) == 1
-
-
-def shared(a, b):
-    x, y = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (a.split(), b.split()))
-    return len(x & y) / len(x | y)
-
-
-def test_near_copies_at_a_share_of_shingles(spark, monkeypatch):
-    """Every pair at 0.8 or more is in one class, also in one hot class, and no others are."""
-    monkeypatch.setattr(simhash, "KEY_ROWS", 16)
-    rng = np.random.default_rng(8)
-    word = lambda: f"w{rng.integers(10**6)}"
-    rows = []
-    for family, changes in enumerate([*[(2,)] * 40, *[(6,)] * 40, *[(12,)] * 20, (3,) * 60]):
-        base = [word() for _ in range(300)]
-        rows.append(" ".join(base))
-        for n in changes:
-            copy = list(base)
-            for i in rng.choice(300, n, replace=False):
-                copy[i] = word()
-            rows.append(" ".join(copy))
-    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    root = list(range(len(rows)))
-    find = lambda x: x if root[x] == x else find(root[x])
-    for a in range(len(rows)):
-        for b in range(a + 1, min(len(rows), a + 62)):
-            if shared(rows[a], rows[b]) >= 0.8:
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    least = [i for i in range(len(rows)) if find(i) == i]
-    assert 110 < len(least) < 150
-    assert sorted(r.doc_id for r in similar.drop_similar(docs).collect()) == least
-
-
-def test_one_of_each_similar_class_stays(odd, none):
-    kept = [r.doc_id for r in similar.drop_similar(odd).collect()]
-    assert sorted(d for d in kept if d) == [1, 4, 7, 8, 9, 10, 11, 12] and kept.count(None) == 1
-    assert similar.drop_similar(none).collect() == []
+    assert sorted(d for d in kept if d) == [1, 4, 7, 8, 9, 10, 11, 12, 13, 14] and kept.count(None) == 1
 
 
 def test_components_of_a_long_path(spark):
