@@ -21,11 +21,14 @@ from pyspark.sql import types as T
 from auditlens.llm.common import (
     PieceIds,
     blocks,
+    cut_pieces,
+    distinct_pieces,
     eight_bytes,
     gathered,
     mixed,
     prefix_sums,
     range_hash,
+    repeated,
     same_bytes,
     utf8,
     worker_cache,
@@ -230,7 +233,9 @@ def encode_block(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary)
     if ranks is None:
         ranks = cache["ranks", vocabulary.name] = {t: i for i, t in enumerate(vocabulary.tokens)}
     learned = cache.setdefault(("pieces", vocabulary.name), PieceIds())
-    ids, counts = learned.of(data, begin[missed], end[missed], lambda new: [merged(p, ranks) for p in new])
+    first, number = distinct_pieces(data, begin[missed], end[missed])
+    different = cut_pieces(data, begin[missed][first], end[missed][first])
+    ids, counts = repeated(*learned.of(different, lambda new: [merged(p, ranks) for p in new]), number)
     length, place = np.ones(len(begin), np.int64), rank
     length[missed] = counts
     place[missed] = len(vocabulary.tokens) + np.cumsum(counts) - counts

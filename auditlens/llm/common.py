@@ -166,26 +166,22 @@ def worker_cache() -> dict:
     return vars(module).setdefault("cache", {})
 
 
+def cut_pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+    text = data.tobytes()
+    return [text[i:j] for i, j in zip(begin.tolist(), end.tolist())]
+
+
 class PieceIds:
     """Token ids of pieces of text. A worker remembers short pieces, those it sees first."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
     SHORT = 64
 
     def __init__(self) -> None:
         self.known: dict[bytes, bytes] = {}
 
-    def of(
-        self,
-        data: np.ndarray,
-        begin: np.ndarray,
-        end: np.ndarray,
-        encode: Callable[[list[bytes]], Iterable[list[int]]],
-    ) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, pieces: list[bytes], encode: Callable[[list[bytes]], Iterable[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has. `encode` gives the ids of new pieces."""
-        first, number = distinct_pieces(data, begin, end)
-        text = data.tobytes()
-        pieces = [text[i:j] for i, j in zip(begin[first].tolist(), end[first].tolist())]
         found = list(map(self.known.get, pieces))
         new = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(new, encode([pieces[i] for i in new])):
@@ -193,5 +189,9 @@ class PieceIds:
             if len(self.known) < self.LIMIT and len(pieces[i]) <= self.SHORT:
                 self.known[pieces[i]] = found[i]
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        return flat[gathered((np.cumsum(counts) - counts)[number], counts[number])], counts[number]
+        return np.frombuffer(b"".join(found), np.uint32), counts
+
+
+def repeated(flat: np.ndarray, counts: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members of lists in a row, for the lists of the given numbers, and how many each has."""
+    return flat[gathered((np.cumsum(counts) - counts)[number], counts[number])], counts[number]

@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import bpe, decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
+from auditlens.llm import alignment, bpe, decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
 from auditlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,11 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.link_report(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+
+
 def op13_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path(RANKS))
     rows = bpe.encoded(read_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
@@ -96,6 +103,7 @@ def queries() -> dict[str, Query]:
             op8_winnowing_hits,
             op9_plane_tokens,
             op10_boosted_pii,
+            op12_galloping_alignment,
             op13_two_tier_bpe,
         )
     }
