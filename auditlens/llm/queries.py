@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import alignment, bpe, decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
+from auditlens.llm import alignment, bpe, collocations, decontaminate, language, licenses, mixing, pii, quality, sharding, simhash, suffixes, tokens
 from auditlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_summary_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return alignment.link_report(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
@@ -103,6 +107,7 @@ def queries() -> dict[str, Query]:
             op8_winnowing_hits,
             op9_plane_tokens,
             op10_boosted_pii,
+            op11_summary_collocations,
             op12_galloping_alignment,
             op13_two_tier_bpe,
         )
@@ -149,6 +154,45 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+_OP11 = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, size, w[i : i + size - 1] AS words
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM words, (VALUES (1), (2), (3), (4), (5)) AS sizes(size) WHERE len(w) >= size)
+),
+frequent AS (SELECT lang, size, words, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+inside AS (
+    SELECT DISTINCT lang, words[i : i + part - 1] AS words, f
+    FROM (SELECT lang, words, f, part, unnest(range(1, size - part + 2)) AS i
+          FROM frequent, (VALUES (2), (3), (4)) AS parts(part) WHERE size > part)
+),
+kept AS (
+    SELECT * FROM frequent AS c WHERE size > 1
+    AND NOT EXISTS (SELECT 1 FROM inside AS o WHERE o.lang = c.lang AND o.words = c.words AND 100 * o.f >= 100 * c.f)
+),
+cuts AS (
+    SELECT c.lang, c.words, c.f AS a, k, l.f AS l, r.f AS r, n,
+        CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) AS c
+    JOIN frequent AS l ON l.lang = c.lang AND l.words = c.words[1 : k]
+    JOIN frequent AS r ON r.lang = c.lang AND r.words = c.words[k + 1 : size]
+    JOIN totals AS t ON t.lang = c.lang
+),
+chosen AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score
+    FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM chosen QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_winnowing_hits": _OP8}
+    return {"op8_winnowing_hits": _OP8, "op11_summary_collocations": _OP11}
