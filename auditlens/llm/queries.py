@@ -182,7 +182,7 @@ cuts AS (
         CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
     FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) AS c
     JOIN frequent AS l ON l.lang = c.lang AND l.words = c.words[1 : k]
-    JOIN frequent AS r ON r.lang = c.lang AND r.words = c.words[k + 1 : size]
+    JOIN frequent AS r ON r.lang = c.lang AND r.words = c.words[k + 1 : c.size]
     JOIN totals AS t ON t.lang = c.lang
 ),
 chosen AS (
