@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from auditlens.functions.json import scalar
 from auditlens.settings import CustomClient, Settings
 
 # Fixed values that results depend on: the mark of service accounts, the leading comment of a
@@ -80,22 +81,33 @@ def _custom_client(client: CustomClient, agent: Column, email: Column) -> Column
     return found
 
 
-def client_type(settings: Settings) -> Column:
-    """Client type of a staged row: custom clients, then labels, then the agent's name."""
-    agent, email = F.col("caller_supplied_user_agent"), F.col("principal_email")
+# Labels that tell the client type, and the kinds of label text that `client_label` gives.
+CLIENT_LABELS = ("sheets_trigger", "data_source_id", "dbt_invocation_id")
+_SCHEDULED, _BUILD = "scheduled", "build"
 
-    def label(name: str) -> Column:
-        return F.get_json_object("config_labels", f"$.{name}")
 
+def client_label(labels: str) -> Column:
+    """What the labels of a row say about its client: a sheet's trigger, a scheduled query, a build.
+
+    The first that holds is enough: a sheet and a scheduled query come before all agents, a build last.
+    """
+    trigger, source, build = (F.expr(scalar(f"{labels}.{name}")) for name in CLIENT_LABELS)
+    kind = F.when(trigger.isin(*(t for t, _ in _SHEETS)), trigger).when(source == "scheduled_query", _SCHEDULED)
+    return kind.when(build.isNotNull(), _BUILD)
+
+
+def client_type(label: str, settings: Settings) -> Column:
+    """Client type of a row: custom clients, then its `client_label`, then the agent's name."""
+    agent, email, kind = F.col("caller_supplied_user_agent"), F.col("principal_email"), F.col(label)
     rules: list[tuple[Column, str]] = [
         (_custom_client(client, agent, email), client.client_name)
         for client in settings.custom_clients
     ]
-    rules += [(label("sheets_trigger") == trigger, name) for trigger, name in _SHEETS]
+    rules += [(kind == trigger, name) for trigger, name in _SHEETS]
     rules += [
-        (label("data_source_id") == "scheduled_query", "Scheduled Query"),
+        (kind == _SCHEDULED, "Scheduled Query"),
         (agent.startswith("Mozilla"), "Web console"),
-        (label("dbt_invocation_id").isNotNull() | agent.startswith("dbt"), "dbt run"),
+        ((kind == _BUILD) | agent.startswith("dbt"), "dbt run"),
     ]
     rules += _agent_rules(agent, email)
     return _first_match(rules, F.coalesce(agent, F.lit(NO_CLIENT)))

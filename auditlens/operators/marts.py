@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from auditlens.functions.columns import (
     NO_ERROR,
+    CLIENT_LABELS,
+    client_label,
     client_type,
     data_layer,
     job_key,
@@ -18,6 +20,7 @@ from auditlens.functions.columns import (
     surrogate_key,
     user_type,
 )
+from auditlens.functions.json import scalar, scalars
 from auditlens.settings import Settings
 
 
@@ -54,10 +57,14 @@ STAGED_COLUMNS = [
 ]
 
 
+# What the build tool tells about a job in the comment of its statement.
+_BUILD_INFO = ("dbt_version", "profile_name", "target_name", "node_id")
+
+
 def dim_job(staged: DataFrame) -> DataFrame:
     """Distinct attributes of jobs, with what the build tool wrote into the statement."""
-    info = F.col("info")
-    node = F.get_json_object(info, "$.node_id")
+    told = {c: F.expr(scalar(f"info.{c}")) for c in _BUILD_INFO}
+    node = told["node_id"]
     parts = F.split(node, r"\.")
     execution = (
         F.when(node.startswith("model."), "DBT_RUN")
@@ -65,7 +72,7 @@ def dim_job(staged: DataFrame) -> DataFrame:
         .when(node.startswith("test."), "DBT_TEST")
     )
     return (
-        staged.withColumn("info", statement_comment("query_statement"))
+        staged.withColumn("info", scalars(statement_comment("query_statement"), _BUILD_INFO))
         .select(
             "dashboard_id",
             "panel_id",
@@ -78,9 +85,9 @@ def dim_job(staged: DataFrame) -> DataFrame:
             "create_disposition",
             "statement_type",
             "query_priority",
-            F.get_json_object(info, "$.dbt_version").alias("dbt_version"),
-            F.get_json_object(info, "$.profile_name").alias("dbt_profile_name"),
-            F.get_json_object(info, "$.target_name").alias("dbt_target_name"),
+            told["dbt_version"].alias("dbt_version"),
+            told["profile_name"].alias("dbt_profile_name"),
+            told["target_name"].alias("dbt_target_name"),
             execution.alias("dbt_execution_type"),
             F.concat(F.get(parts, F.lit(1)), F.lit("."), F.get(parts, F.lit(2))).alias(
                 "dbt_model_name"
@@ -170,21 +177,18 @@ def dim_users(staged: DataFrame) -> DataFrame:
 
 
 def dim_user_agents(staged: DataFrame, settings: Settings) -> DataFrame:
-    """Client types seen per agent, principal and project. A key may have several."""
+    """Client types seen per agent, principal and project. A key may have several.
+
+    The labels of a row are parsed once, and reduced to the one thing they say about the client, before
+    rows are made distinct; only distinct rows are classified.
+    """
+    names = ["caller_supplied_user_agent", "principal_email", "project_id"]
+    seen = staged.select(*names, scalars("config_labels", CLIENT_LABELS).alias("labels"))
+    seen = seen.select(*names, client_label("labels").alias("label")).distinct()
     return (
-        staged.select(
-            "caller_supplied_user_agent",
-            "principal_email",
-            "project_id",
-            client_type(settings).alias("client_type"),
-        )
+        seen.select(*names, client_type("label", settings).alias("client_type"))
         .distinct()
-        .select(
-            surrogate_key("caller_supplied_user_agent", "principal_email", "project_id").alias(
-                "user_agent_key"
-            ),
-            "*",
-        )
+        .select(surrogate_key(*names).alias("user_agent_key"), "*")
     )
 
 

@@ -6,29 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from auditlens.functions.json import scalar
 from auditlens.sources.audit_log import union_logs
 
-# The part of the job document that is read, all of it by one parse.
+# The part of the job document that is read, all of it by one parse. Scalars and labels are variants,
+# so that an object or a list in their place is told from a text.
 JOB_DOCUMENT = """
     jobChange STRUCT<job: STRUCT<
-        jobName: STRING,
+        jobName: VARIANT,
         jobConfig: STRUCT<
-            type: STRING,
-            labels: MAP<STRING, STRING>,
+            type: VARIANT,
+            labels: MAP<STRING, VARIANT>,
             queryConfig: STRUCT<
-                query: STRING, queryTruncated: STRING, destinationTable: STRING,
-                createDisposition: STRING, writeDisposition: STRING, defaultDataset: STRING,
-                priority: STRING, statementType: STRING>,
+                query: VARIANT, queryTruncated: VARIANT, destinationTable: VARIANT,
+                createDisposition: VARIANT, writeDisposition: VARIANT, defaultDataset: VARIANT,
+                priority: VARIANT, statementType: VARIANT>,
             loadConfig: STRUCT<
-                destinationTable: STRING, createDisposition: STRING, writeDisposition: STRING>>,
-        jobStatus: STRUCT<jobState: STRING, errorResult: STRUCT<code: STRING, message: STRING>>,
+                destinationTable: VARIANT, createDisposition: VARIANT, writeDisposition: VARIANT>>,
+        jobStatus: STRUCT<jobState: VARIANT, errorResult: STRUCT<code: VARIANT, message: VARIANT>>,
         jobStats: STRUCT<
-            createTime: STRING, startTime: STRING, endTime: STRING, totalSlotMs: STRING,
+            createTime: VARIANT, startTime: VARIANT, endTime: VARIANT, totalSlotMs: VARIANT,
             queryStats: STRUCT<
-                totalProcessedBytes: STRING, totalBilledBytes: STRING, billingTier: STRING,
+                totalProcessedBytes: VARIANT, totalBilledBytes: VARIANT, billingTier: VARIANT,
                 referencedTables: ARRAY<STRING>, referencedViews: ARRAY<STRING>,
-                outputRowCount: STRING, cacheHit: STRING>,
-            loadStats: STRUCT<totalOutputBytes: STRING>>>>
+                outputRowCount: VARIANT, cacheHit: VARIANT>,
+            loadStats: STRUCT<totalOutputBytes: VARIANT>>>>
 """
 
 # The fields of a log row outside the document. They are taken out of their structs first, so that
@@ -57,7 +59,7 @@ _JOB_CHANGES = f"""
 
 _SECTIONS = (
     "document.jobChange.job AS job",
-    "split(document.jobChange.job.jobName, '/') AS name_parts",
+    f"split({scalar('document.jobChange.job.jobName')}, '/') AS name_parts",
     "document.jobChange.job.jobConfig.labels AS labels",
     "document.jobChange.job.jobConfig.queryConfig AS query",
     "document.jobChange.job.jobConfig.loadConfig AS load",
@@ -68,8 +70,8 @@ _SECTIONS = (
 
 _COLUMNS = {
     "insert_id": "insert_id",
-    "dashboard_id": "labels['x-dashboard-uid']",
-    "panel_id": "labels['x-panel-id']",
+    "dashboard_id": "CAST(labels['x-dashboard-uid'] AS STRING)",
+    "panel_id": "CAST(labels['x-panel-id'] AS STRING)",
     # projects/<project>/jobs/<job>; NULL if a part is missing.
     "job_id": "get(name_parts, 1) || ':' || get(name_parts, 3)",
     "event_type": "'JobChangeEvent'",
@@ -83,32 +85,32 @@ _COLUMNS = {
     "caller_supplied_user_agent": "caller_supplied_user_agent",
     "service_name": "service_name",
     "method_name": "method_name",
-    "job_state": "status.jobState",
-    "config_type": "job.jobConfig.type",
-    "error_result_code": "status.errorResult.code",
-    "error_result_message": "status.errorResult.message",
-    "create_time": "try_to_timestamp(stats.createTime)",
-    "start_time": "try_to_timestamp(stats.startTime)",
-    "end_time": "try_to_timestamp(stats.endTime)",
-    "total_slot_ms": "try_cast(stats.totalSlotMs AS BIGINT)",
-    "total_processed_bytes": "usage.totalProcessedBytes",
-    "total_billed_bytes": "try_cast(usage.totalBilledBytes AS BIGINT)",
-    "billing_tier": "usage.billingTier",
+    "job_state": scalar("status.jobState"),
+    "config_type": scalar("job.jobConfig.type"),
+    "error_result_code": scalar("status.errorResult.code"),
+    "error_result_message": scalar("status.errorResult.message"),
+    "create_time": f"try_to_timestamp({scalar('stats.createTime')})",
+    "start_time": f"try_to_timestamp({scalar('stats.startTime')})",
+    "end_time": f"try_to_timestamp({scalar('stats.endTime')})",
+    "total_slot_ms": f"try_cast({scalar('stats.totalSlotMs')} AS BIGINT)",
+    "total_processed_bytes": scalar("usage.totalProcessedBytes"),
+    "total_billed_bytes": f"try_cast({scalar('usage.totalBilledBytes')} AS BIGINT)",
+    "billing_tier": scalar("usage.billingTier"),
     # An empty list counts as one reference without a name.
     "referenced_tables": "if(size(usage.referencedTables) = 0, array(''), usage.referencedTables)",
     "referenced_views": "if(size(usage.referencedViews) = 0, array(''), usage.referencedViews)",
-    "output_row_count": "usage.outputRowCount",
-    "cache_hit": "try_cast(usage.cacheHit AS BOOLEAN)",
-    "total_output_bytes": "try_cast(stats.loadStats.totalOutputBytes AS BIGINT)",
+    "output_row_count": scalar("usage.outputRowCount"),
+    "cache_hit": f"try_cast({scalar('usage.cacheHit')} AS BOOLEAN)",
+    "total_output_bytes": f"try_cast({scalar('stats.loadStats.totalOutputBytes')} AS BIGINT)",
     "config_labels": "to_json(labels)",
-    "query_statement": "query.query",
-    "is_query_truncated": "try_cast(query.queryTruncated AS BOOLEAN)",
-    "destination_table": "coalesce(query.destinationTable, load.destinationTable)",
-    "create_disposition": "coalesce(query.createDisposition, load.createDisposition)",
-    "write_disposition": "coalesce(query.writeDisposition, load.writeDisposition)",
-    "default_dataset": "query.defaultDataset",
-    "query_priority": "query.priority",
-    "statement_type": "query.statementType",
+    "query_statement": scalar("query.query"),
+    "is_query_truncated": f"try_cast({scalar('query.queryTruncated')} AS BOOLEAN)",
+    "destination_table": f"coalesce({scalar('query.destinationTable')}, {scalar('load.destinationTable')})",
+    "create_disposition": f"coalesce({scalar('query.createDisposition')}, {scalar('load.createDisposition')})",
+    "write_disposition": f"coalesce({scalar('query.writeDisposition')}, {scalar('load.writeDisposition')})",
+    "default_dataset": scalar("query.defaultDataset"),
+    "query_priority": scalar("query.priority"),
+    "statement_type": scalar("query.statementType"),
 }
 
 

@@ -33,6 +33,7 @@ _LABELS = """
         WHEN kind = 'purchase' THEN map('dbt_invocation_id', 'inv-' || k % 4)
         WHEN kind = 'click' AND k % 10 = 0 THEN map('sheets_trigger', 'user')
         WHEN kind = 'click' AND k % 10 = 1 THEN map('sheets_trigger', 'schedule')
+        WHEN kind = 'click' AND k % 10 = 4 THEN map('sheets_trigger', '@nested')
         WHEN kind = 'view' AND k % 10 = 2 THEN map('data_source_id', 'scheduled_query')
         WHEN k % 10 = 9 THEN CAST(map() AS MAP<STRING, STRING>)
         WHEN kind = 'signup' THEN map('x-dashboard-uid', 'd' || k % 3, 'x-panel-id', 'p' || k % 5)
@@ -41,7 +42,8 @@ _LABELS = """
 
 _STATEMENT = """
     CASE WHEN kind = 'purchase' THEN concat(
-        '/* {"app": "dbt", "dbt_version": "1.3.0", "profile_name": "shop", ',
+        '/* {"app": "dbt", "dbt_version": ',
+        CASE WHEN k % 16 = 3 THEN '{"v": "1.3.0"}' ELSE '"1.3.0"' END, ', "profile_name": "shop", ',
         '"target_name": "prod", "node_id": "',
         CASE k % 3 WHEN 0 THEN 'model' WHEN 1 THEN 'test' ELSE 'snapshot' END,
         '.pkg.m', k % 10, '"} */ select 1')
@@ -89,6 +91,13 @@ _JOB = f"""
                 'referencedViews', {_VIEWS})))
 """
 
+# Objects and lists where a text is expected; those are no scalars, and count as missing.
+_NESTED = """
+    replace(replace(replace({text}, '"@nested"', '{{"by":"user"}}'),
+        CASE WHEN event_id % 211 = 5 THEN '"jobState":"DONE"' ELSE '' END, '"jobState":{{"state":"DONE"}}'),
+        CASE WHEN event_id % 223 = 7 THEN '"type":"QUERY"' ELSE '' END, '"type":["QUERY"]')
+"""
+
 _EMAIL = """
     CASE
         WHEN event_id % 101 = 0 THEN NULL
@@ -119,7 +128,7 @@ _LOG_ROW = (
         'serviceName', 'bigquery',
         'methodName', 'InsertJob',
         'metadataJson', CASE WHEN event_id % 50 = 7 THEN '{{"tableDataRead":{{}}}}'
-            ELSE to_json(named_struct('jobChange', named_struct('job', {_JOB}))) END,
+            ELSE {_NESTED.format(text=f"to_json(named_struct('jobChange', named_struct('job', {_JOB})))")} END,
         'authenticationInfo', named_struct('principalEmail', {_EMAIL}),
         'requestMetadata', named_struct(
             'callerIp', '10.0.0.' || user_id % 250, 'callerSuppliedUserAgent', {_AGENT})

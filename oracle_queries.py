@@ -77,8 +77,8 @@ _step(
         END AS caller_supplied_user_agent,
         'bigquery' AS service_name,
         'InsertJob' AS method_name,
-        'DONE' AS job_state,
-        'QUERY' AS config_type,
+        CASE WHEN event_id % 211 <> 5 THEN 'DONE' END AS job_state,
+        CASE WHEN event_id % 223 <> 7 THEN 'QUERY' END AS config_type,
         CASE WHEN kind = 'error' THEN CAST(5 + k % 3 AS VARCHAR) END AS error_result_code,
         CASE WHEN kind = 'error' THEN 'err ' || (k % 4) END AS error_result_message,
         CAST(NULL AS TIMESTAMP) AS create_time,
@@ -106,13 +106,15 @@ _step(
             WHEN kind = 'purchase' THEN '{"dbt_invocation_id":"inv-' || (k % 4) || '"}'
             WHEN kind = 'click' AND k % 10 = 0 THEN '{"sheets_trigger":"user"}'
             WHEN kind = 'click' AND k % 10 = 1 THEN '{"sheets_trigger":"schedule"}'
+            WHEN kind = 'click' AND k % 10 = 4 THEN '{"sheets_trigger":{"by":"user"}}'
             WHEN kind = 'view' AND k % 10 = 2 THEN '{"data_source_id":"scheduled_query"}'
             WHEN k % 10 = 9 THEN '{}'
             WHEN kind = 'signup' THEN
                 '{"x-dashboard-uid":"d' || (k % 3) || '","x-panel-id":"p' || (k % 5) || '"}'
         END AS config_labels,
         CASE WHEN kind = 'purchase' THEN
-            '/* {"app": "dbt", "dbt_version": "1.3.0", "profile_name": "shop", '
+            '/* {"app": "dbt", "dbt_version": '
+            || (CASE WHEN k % 16 = 3 THEN '{"v": "1.3.0"}' ELSE '"1.3.0"' END) || ', "profile_name": "shop", '
             || '"target_name": "prod", "node_id": "'
             || (CASE k % 3 WHEN 0 THEN 'model' WHEN 1 THEN 'test' ELSE 'snapshot' END)
             || '.pkg.m' || (k % 10) || '"} */ select 1'
@@ -145,7 +147,8 @@ def _jobs(where: str = "") -> str:
         SELECT DISTINCT
             dashboard_id, panel_id, job_id, project_id, event_type, resource_name,
             caller_ip_address, method_name, create_disposition, statement_type, query_priority,
-            json_extract_string(dbt_info, '$.dbt_version') AS dbt_version,
+            CASE WHEN json_type(dbt_info, '$.dbt_version') NOT IN ('OBJECT', 'ARRAY')
+                THEN json_extract_string(dbt_info, '$.dbt_version') END AS dbt_version,
             json_extract_string(dbt_info, '$.profile_name') AS dbt_profile_name,
             json_extract_string(dbt_info, '$.target_name') AS dbt_target_name,
             CASE split_part(json_extract_string(dbt_info, '$.node_id'), '.', 1)

@@ -101,3 +101,24 @@ def test_logs_are_read_from_parquet(spark, tmp_path):
     for path in paths:
         spark.createDataFrame([log_row(job())], LOG_SCHEMA).write.parquet(path)
     assert stage_audit_log([read_logs(spark, paths)]).count() == 2
+
+
+def test_objects_and_lists_are_no_scalars(spark):
+    status = {"jobState": {"a": 1}, "errorResult": {"code": ["x"], "message": "{plain text"}}
+    config = {
+        "type": "[also plain",
+        "labels": {"k": {"z": 1}, "l": ["x"], "m": "{t}", "n": 5},
+        "queryConfig": {"query": {"q": 1}, "destinationTable": ["t"], "priority": None},
+        "loadConfig": {"destinationTable": "{t}"},
+    }
+    stats = {"startTime": {"s": 1}, "totalSlotMs": [5], "queryStats": {"cacheHit": {}, "billingTier": []}}
+    row = stage(spark, log_row(job(jobName=["projects/p/jobs/j"], jobStatus=status, jobConfig=config, jobStats=stats))).first()
+    assert (row.job_state, row.error_result_code, row.error_result_message) == (None, None, "{plain text")
+    assert (row.config_type, row.query_statement, row.destination_table) == ("[also plain", None, "{t}")
+    assert (row.job_id, row.start_time, row.total_slot_ms, row.cache_hit, row.billing_tier) == (None,) * 5
+    assert row.config_labels == '{"k":{"z":1},"l":["x"],"m":"{t}","n":5}'
+
+
+def test_the_document_is_parsed_once(spark):
+    plan = stage(spark, log_row(job()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "get_json_object" not in plan
