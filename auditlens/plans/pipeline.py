@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from auditlens.operators import marts, reports
 from auditlens.operators.active_users import table_active_users
+from auditlens.operators.dates import dim_date
 from auditlens.operators.filters import dev_limit, incremental_lookback
 from auditlens.operators.scores import importance_score, threat_score
 from auditlens.operators.staging import stage_audit_log
@@ -51,6 +52,7 @@ class Build:
     def run(self) -> None:
         staged = self._stage()
         side_by_side(
+            self._calendar,
             partial(self._facts, staged),
             *(partial(self._dimension, name, staged) for name in DIMENSIONS),
         )
@@ -89,6 +91,9 @@ class Build:
             return staged
         return staged.filter(F.col("event_date") >= F.lit(self.settings.lookback_start))
 
+    def _calendar(self) -> None:
+        self.warehouse.write_full("dim_date", dim_date(self.warehouse.spark, self.settings))
+
     def _dimension(self, name: str, staged: DataFrame) -> None:
         build = getattr(marts, name)
         df = build(staged, self.settings) if name in WITH_SETTINGS else build(staged)
@@ -96,7 +101,7 @@ class Build:
         if self.incremental:
             self.warehouse.upsert(name, df, keys, cluster_by)
         else:
-            self.warehouse.replace(name, df, cluster_by)
+            self.warehouse.replace(name, df, cluster_by, keys)
 
     def _facts(self, staged: DataFrame) -> None:
         self._write_days(

@@ -6,12 +6,18 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlens.settings import Settings
 
+# A table that is upserted is a snapshot and the versions after it, each in a folder of its number.
 _SNAPSHOT = "snapshot="
+_VERSION = "version"
+_DELTA = f"{_VERSION}="
+# Marks the key of such a table in its schema.
+_KEY = {"upsert_key": True}
 
 
 def upsert_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,19 +103,28 @@ class Warehouse:
     def upsert(
         self, name: str, new: DataFrame, keys: Sequence[str], cluster_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Upsert into the latest snapshot and write the result as the next one.
+        """Put rows into a table: those of the same keys give way to them.
 
-        Readers of the latest snapshot are not disturbed, and a run that fails leaves it in place.
+        Only the new rows are written, as the next version; readers find the newest version of a
+        key. After `Settings.versions_per_snapshot` of them all rows are written as a snapshot. Those
+        who read before are not disturbed, and a run that fails leaves the last version in place.
         """
-        if self._latest_snapshot(name) is not None:
-            new = upsert_by_key(self.read(name), new, keys)
-        return self.replace(name, new, cluster_by)
-
-    def replace(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> DataFrame:
-        """Write the next snapshot of a table that is upserted."""
-        current = self._latest_snapshot(name)
-        path = self._snapshot_path(name, 0 if current is None else current + 1)
-        self._keep_schema(name, df)
+        snapshot = self._latest_snapshot(name)
+        if snapshot is None:
+            return self.replace(name, new, cluster_by, keys)
+        self._keep_schema(name, new, keys)
+        number = self._next_number(name)
+        _clustered(new, cluster_by).write.mode("overwrite").parquet(self._numbered(name, _DELTA, number))
+        if len(self._versions(name)) >= self.settings.versions_per_snapshot:
+            self.replace(name, self.read(name), cluster_by, keys)
+        return self.read(name)
+
+    def replace(
+        self, name: str, df: DataFrame, cluster_by: Sequence[str] = (), keys: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write all rows of a table that is upserted as its next snapshot."""
+        path = self._numbered(name, _SNAPSHOT, self._next_number(name))
+        self._keep_schema(name, df, keys)
         _clustered(df, cluster_by).write.mode("overwrite").parquet(path)
         self._expire_snapshots(name)
         return self.read(name)
@@ -117,18 +132,34 @@ class Warehouse:
     # Reads
 
     def read(self, name: str) -> DataFrame:
+        """A table as it is now; of one that is upserted, the newest version of each key."""
         snapshot = self._latest_snapshot(name)
-        path = self.path(name) if snapshot is None else self._snapshot_path(name, snapshot)
+        path = self.path(name) if snapshot is None else self._numbered(name, _SNAPSHOT, snapshot)
         schema = self.spark.read.parquet(self._schema_path(name)).schema
-        return self.spark.read.schema(schema).parquet(path)
+        keys = [field.name for field in schema if field.metadata == _KEY]
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        rows = self.spark.read.schema(plain).parquet(path)
+        versions = self._versions(name)
+        if not versions:
+            return rows
+        paths = [self._numbered(name, _DELTA, number) for number in versions]
+        numbered = T.StructType([*plain, T.StructField(_VERSION, T.LongType())])
+        put = self.spark.read.schema(numbered).option("basePath", self.path(name)).parquet(*paths)
+        newest = F.max(_VERSION).over(Window.partitionBy(*keys))
+        put = put.withColumn("newest", newest).filter(F.col("newest") == F.col(_VERSION))
+        return upsert_by_key(rows, put.select(*plain.names), keys)
 
     # Schemas are kept beside the tables: a table without rows may have no file to tell its own.
 
     def _schema_path(self, name: str) -> str:
         return f"{self.root}/_schemas/{name}"
 
-    def _keep_schema(self, name: str, df: DataFrame) -> None:
-        none = self.spark.createDataFrame([], df.schema)
+    def _keep_schema(self, name: str, df: DataFrame, keys: Sequence[str] = ()) -> None:
+        fields = [
+            T.StructField(f.name, f.dataType, metadata=_KEY if f.name in keys else None)
+            for f in df.schema
+        ]
+        none = self.spark.createDataFrame([], T.StructType(fields))
         none.write.mode("overwrite").parquet(self._schema_path(name))
 
     def read_report(
@@ -148,29 +179,42 @@ class Warehouse:
             df = df.filter(F.col(day) <= F.lit(end))
         return df
 
-    # Snapshots
+    # Snapshots and the versions after them
 
-    def _snapshot_path(self, name: str, number: int) -> str:
-        return f"{self.path(name)}/{_SNAPSHOT}{number:08d}"
+    def _numbered(self, name: str, kind: str, number: int) -> str:
+        return f"{self.path(name)}/{kind}{number:08d}"
 
-    def _snapshots(self, name: str) -> list[int]:
-        """Numbers of the snapshots that were written to their end, oldest first."""
+    def _numbers(self, name: str, kind: str) -> list[int]:
+        """Numbers of the folders of a kind that were written to their end, oldest first."""
         folder, files = self._folder(self.path(name))
         if not files.exists(folder):
             return []
         return sorted(
-            int(status.getPath().getName().removeprefix(_SNAPSHOT))
+            int(status.getPath().getName().removeprefix(kind))
             for status in files.listStatus(folder)
-            if status.getPath().getName().startswith(_SNAPSHOT)
+            if status.getPath().getName().startswith(kind)
             and files.exists(status.getPath().suffix("/_SUCCESS"))
         )
 
     def _latest_snapshot(self, name: str) -> int | None:
-        return max(self._snapshots(name), default=None)
+        return max(self._numbers(name, _SNAPSHOT), default=None)
+
+    def _versions(self, name: str) -> list[int]:
+        """Versions after the latest snapshot, oldest first."""
+        snapshot = self._latest_snapshot(name)
+        return [] if snapshot is None else [n for n in self._numbers(name, _DELTA) if n > snapshot]
+
+    def _next_number(self, name: str) -> int:
+        return max((*self._numbers(name, _SNAPSHOT), *self._numbers(name, _DELTA)), default=-1) + 1
 
     def _expire_snapshots(self, name: str) -> None:
-        for number in self._snapshots(name)[: -self.settings.kept_snapshots]:
-            folder, files = self._folder(self._snapshot_path(name, number))
+        """Drop snapshots beyond those kept, and versions that only those need."""
+        snapshots = self._numbers(name, _SNAPSHOT)
+        kept = snapshots[-self.settings.kept_snapshots :]
+        gone = [self._numbered(name, _SNAPSHOT, n) for n in snapshots if n not in kept]
+        gone += [self._numbered(name, _DELTA, n) for n in self._numbers(name, _DELTA) if n < kept[0]]
+        for path in gone:
+            folder, files = self._folder(path)
             files.delete(folder, True)
 
 

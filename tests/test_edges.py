@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from auditlens.operators.scores import threat_score
 from auditlens.plans.pipeline import DIMENSIONS, Build
 from auditlens.plans.rules import broken_rules
+from auditlens.session import settle
 from auditlens.plans.warehouse import Warehouse
 from auditlens.sources.event_log import FIXTURE_SETTINGS as SETTINGS
 from auditlens.sources.event_log import event_log
@@ -41,6 +42,15 @@ def test_rules_hold_and_a_broken_table_is_reported(spark, log, tmp_path):
     warehouse.replace("dim_users", twice)
     broken = {rule[1]: rule[-1] for rule in broken_rules(warehouse) if rule[0] == "dim_users"}
     assert broken == {"not_null": 1, "unique": users.count()}
+    days = warehouse.read("dim_date")
+    assert days.count() == 14611 and not [rule for rule in broken_rules(warehouse) if rule[0] == "dim_date"]
+    first = days.orderBy("date_day").limit(1)
+    twice = days.unionByName(first.withColumns({"day_name": F.lit(None).cast("string"), "date_actual": F.lit(None).cast("date")}))
+    warehouse.write_full("dim_date", settle(twice, "days"))
+    assert {rule[1:] for rule in broken_rules(warehouse) if rule[0] == "dim_date"} == {
+        ("not_null", ("day_name",), 1), ("not_null", ("date_actual",), 1),
+        ("unique", ("date_key",), 1), ("unique", ("date_day",), 1),
+    }
 
 
 def scored(spark, settings):

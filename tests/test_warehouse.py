@@ -50,15 +50,48 @@ def test_upsert(spark, warehouse):
         assert values(table, "key", "value") == [("a", 1), ("b", 2), ("c", 2), (None, 2)]
 
 
-def test_old_snapshots_expire(spark, warehouse, tmp_path):
+def folders(path):
+    return sorted(p.name for p in path.iterdir())
+
+
+def test_an_upsert_writes_its_own_rows_only(spark, warehouse, tmp_path):
+    warehouse.upsert("t", frame(spark, [(f"k{n}", 0, DAYS[0]) for n in range(500)]), ["key"], ["key"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    table = warehouse.upsert("t", frame(spark, [("k7", 1, None), ("k7", 2, None), (None, 3, None)]), ["key"], ["key"])
+    written = [str(p) for p in (tmp_path / "t").rglob("*.parquet") if p not in before]
+    assert spark.read.parquet(*written).count() == 3
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert table.count() == 502 and table.columns == ["key", "value", "day"]
+    assert values(table.filter("value > 0"), "key", "value") == [("k7", 1), ("k7", 2), (None, 3)]
+    # The newest version of a key counts, also one that an earlier version had brought.
+    table = warehouse.upsert("t", frame(spark, [("k7", 4, None), ("k8", 5, None)]), ["key"], ["key"])
+    assert values(table.filter("value > 0"), "key", "value") == [("k7", 4), ("k8", 5), (None, 3)]
+    assert warehouse.upsert("t", frame(spark, []), ["key"]).count() == 501
+
+
+def test_versions_are_compacted_and_old_ones_expire(spark, tmp_path):
+    settings = replace(SETTINGS, versions_per_snapshot=2, kept_snapshots=2)
+    warehouse = Warehouse(spark, str(tmp_path), settings)
     for n in range(5):
         before = warehouse.upsert("t", frame(spark, [("a", n, None), (f"k{n}", n, None)]), ["key"])
-    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == [
-        f"snapshot={n:08d}" for n in (2, 3, 4)
-    ]
-    # A reader of the latest snapshot is not disturbed by the next one.
-    warehouse.upsert("t", frame(spark, [("a", 9, None)]), ["key"])
+    assert folders(tmp_path / "t") == ["snapshot=00000003", "snapshot=00000006", "version=00000004", "version=00000005"]
+    assert values(before, "key", "value") == [("a", 4), *((f"k{n}", n) for n in range(5))]
+    # A reader is not disturbed by the next version, nor by the next snapshot.
+    for n in (8, 9):
+        opened = warehouse.read("t")
+        warehouse.upsert("t", frame(spark, [("a", n, None)]), ["key"])
+    assert folders(tmp_path / "t") == ["snapshot=00000006", "snapshot=00000009", "version=00000007", "version=00000008"]
     assert values(before, "key", "value") == [("a", 4), *((f"k{n}", n) for n in range(5))]
+    assert values(opened.filter("key = 'a'"), "value") == [(8,)]
+    assert values(warehouse.read("t").filter("key = 'a'"), "value") == [(9,)]
+
+
+def test_a_version_without_end_is_not_read(spark, warehouse, tmp_path):
+    warehouse.upsert("t", frame(spark, [("a", 1, None)]), ["key"])
+    frame(spark, [("a", 2, None)]).write.parquet(str(tmp_path / "t" / "version=00000001"))
+    (tmp_path / "t" / "version=00000001" / "_SUCCESS").unlink()
+    assert values(warehouse.read("t"), "value") == [(1,)]
+    assert values(warehouse.upsert("t", frame(spark, [("b", 3, None)]), ["key"]), "key", "value") == [("a", 1), ("b", 3)]
 
 
 def test_a_snapshot_without_end_is_not_read(spark, warehouse, tmp_path):
