@@ -8,8 +8,9 @@ have equal anchors, so suffixes need to be sorted only next to others with the s
 2. Where a gram stands in different surroundings, the suffixes around it are sorted: by multikey
    quicksort to a shallow depth, and groups that are still equal there by blind tries. Suffixes
    equal over 50 bytes end in one leaf, and the least doc_id of the leaf stays.
-3. A gram with very many surroundings is not sorted in one task: its suffixes meet by a hash of
-   their 50 bytes, and the least doc_id of each hash is an aggregate.
+3. A gram with very many surroundings is not sorted in one task. Its suffixes are sorted by batches of
+   anchors, and only the least document of each different suffix goes on; those meet by a hash of
+   their 50 bytes and are sorted in the same way again.
 """
 
 from __future__ import annotations
@@ -297,60 +298,117 @@ def _bytes_of(around: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(around.buffers()[2], np.uint8), offsets
 
 
+class _Around:
+    """Anchors with the bytes around them, and the suffixes that begin before each."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch) -> None:
+        self.gram, self.doc, self.place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
+        around = table.column("around")
+        self.data, self.offsets = _bytes_of(around.combine_chunks() if isinstance(around, pa.ChunkedArray) else around)
+        self.at = self.place & ((1 << _TAG_BITS) - 1)
+        self.left = np.minimum(self.at, BEFORE)
+        ahead = np.arange(BEFORE + 1)
+        self.fits = (ahead <= self.left[:, None]) & (self.left[:, None] - ahead + LENGTH <= np.diff(self.offsets)[:, None])
+
+    def suffixes(self, rows: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+        start = self.offsets[rows] + self.left[rows] - ahead
+        return self.data[start[:, None] + np.arange(LENGTH)]
+
+    def later(self) -> np.ndarray:
+        """By anchor and how far before it a suffix begins: whether a lesser document here has it too.
+
+        Up to AT_ONCE anchors are sorted at once; more of them, which are those of one gram, offset by
+        offset.
+        """
+        group = np.cumsum(_runs(self.gram)) if len(self.gram) else self.gram
+        gone = np.zeros(self.fits.shape, dtype=bool)
+
+        def sort(rows: np.ndarray, ahead: np.ndarray) -> None:
+            gone[rows, ahead] = _later(group[rows] * (BEFORE + 1) + ahead, self.suffixes(rows, ahead), self.doc[rows])
+
+        if len(self.gram) <= AT_ONCE:
+            sort(*np.nonzero(self.fits))
+        else:
+            for a in range(BEFORE + 1):
+                rows = np.flatnonzero(self.fits[:, a])
+                sort(rows, np.full(len(rows), a))
+        return gone
+
+    def runs(self, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc_id, tag, span) of the bytes that suffixes cover, neighbours in one span."""
+        gone = gone[:, ::-1]
+        edge = np.zeros((len(gone), 1), np.int8)
+        step = np.diff(np.concatenate((edge, gone.astype(np.int8), edge), axis=1), axis=1)
+        row, begin = np.nonzero(step == 1)
+        _, end = np.nonzero(step == -1)
+        at = self.at[row] - BEFORE + begin
+        return self.doc[row], self.place[row] >> _TAG_BITS, at * 256 + (end - begin - 1 + LENGTH)
+
+
+_SPREAD = "h long, suffix binary, doc_id long, tag long, span long"
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, h, doc_id, tag, span) of all suffixes around anchors; h is the hash of a suffix."""
+    """Suffixes around the anchors of hot grams, to be sorted in parts.
+
+    Those of a batch are sorted here already: what a lesser document of the batch has too is removed,
+    whatever others hold, and comes as a run without h. Of the rest, which is one document for each
+    different suffix, each goes on as a row: its hash, by which equal ones meet, and its bytes.
+    """
+    names = ["h", "suffix", "doc_id", "tag", "span"]
     for batch in batches:
         for first in range(0, batch.num_rows, AT_ONCE):
             rows = batch.slice(first, AT_ONCE)
-            data, offsets = _bytes_of(rows.column("around"))
-            data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-            gram, doc, place = (rows.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
-            at = place & ((1 << _TAG_BITS) - 1)
-            left = np.minimum(at, BEFORE)
-            ahead = np.arange(BEFORE + 1)
-            row, ahead = np.nonzero((ahead <= left[:, None]) & (left[:, None] - ahead + LENGTH <= np.diff(offsets)[:, None]))
-            start = offsets[row] + left[row] - ahead
-            h = range_hash(prefix_sums(data), start, start + LENGTH)
+            around = _Around(rows.take(pa.compute.sort_indices(rows.column("gram"))))
+            gone = around.later()
+            doc, tag, span = around.runs(gone)
+            if len(doc):
+                empty = [pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*empty, pa.array(doc), pa.array(tag), pa.array(span)], names=names)
+            row, ahead = np.nonzero(around.fits & ~gone)
+            suffixes = around.suffixes(row, ahead)
+            start = np.arange(len(row)) * LENGTH
+            h = range_hash(prefix_sums(suffixes.reshape(-1)), start, start + LENGTH)
+            ends = pa.py_buffer(np.append(start, len(row) * LENGTH).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(gram[row]), pa.array(h.view(np.int64)), pa.array(doc[row]),
-                    pa.array(place[row] >> _TAG_BITS), pa.array((at[row] - ahead) * 256 + LENGTH),
+                    pa.array(h.view(np.int64)),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, ends, pa.py_buffer(suffixes.tobytes())]),
+                    pa.array(around.doc[row]),
+                    pa.array(around.place[row] >> _TAG_BITS),
+                    pa.array((around.at[row] - ahead) * 256 + LENGTH),
                 ],
-                names=["gram", "h", "doc_id", "tag", "span"],
-            )
+                names=names,
+            )
+
+
+def _sorted_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs (doc_id, tag, span) of suffixes that a lesser document has. Rows come sorted by h, so
+    equal ones stand together; they are sorted by all their bytes."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+        last = int(np.flatnonzero(_runs(table.column("h").to_numpy()))[-1])
+        if last:
+            yield _without_first(table.slice(0, last))
+        rest = table.slice(last).combine_chunks().to_batches()[0]
+    if rest is not None:
+        yield _without_first(pa.Table.from_batches([rest]))
+
+
+def _without_first(table: pa.Table) -> pa.RecordBatch:
+    table = table.combine_chunks()
+    data, offsets = _bytes_of(table.column("suffix").chunk(0))
+    suffixes = data[offsets[0] : offsets[-1]].reshape(-1, LENGTH)
+    gone = _later(np.cumsum(_runs(table.column("h").to_numpy())), suffixes, table.column("doc_id").to_numpy())
+    found = table.select(["doc_id", "tag", "span"]).filter(pa.array(gone)).combine_chunks()
+    return found.to_batches()[0] if found.num_rows else pa.RecordBatch.from_pylist([], schema=found.schema)
 
 
 def _sorted_around(table: pa.Table) -> pa.RecordBatch:
-    gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
-    data, offsets = _bytes_of(table.column("around").combine_chunks())
-    length = np.diff(offsets)
-    left = np.minimum(place & ((1 << _TAG_BITS) - 1), BEFORE)
-    group = np.cumsum(_runs(gram))
-    gone = np.zeros((len(gram), BEFORE + 1), dtype=bool)  # by how far before the anchor it begins
-
-    def sort(rows: np.ndarray, ahead: np.ndarray) -> None:
-        start = offsets[rows] + left[rows] - ahead
-        suffixes = data[start[:, None] + np.arange(LENGTH)]
-        gone[rows, ahead] = _later(group[rows] * (BEFORE + 1) + ahead, suffixes, doc[rows])
-
-    ahead = np.arange(BEFORE + 1)
-    fits = (ahead <= left[:, None]) & (left[:, None] - ahead + LENGTH <= length[:, None])
-    if len(gram) <= AT_ONCE:
-        sort(*np.nonzero(fits))
-    else:
-        for a in ahead:
-            rows = np.flatnonzero(fits[:, a])
-            sort(rows, np.full(len(rows), a))
-    gone = gone[:, ::-1]
-    edge = np.zeros((len(gram), 1), np.int8)
-    step = np.diff(np.concatenate((edge, gone.astype(np.int8), edge), axis=1), axis=1)
-    row, begin = np.nonzero(step == 1)
-    _, end = np.nonzero(step == -1)
-    at = (place[row] & ((1 << _TAG_BITS) - 1)) - BEFORE + begin
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[row]), pa.array(place[row] >> _TAG_BITS), pa.array(at * 256 + (end - begin - 1 + LENGTH))],
-        names=["doc_id", "tag", "span"],
-    )
+    around = _Around(table)
+    doc, tag, span = around.runs(around.later())
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(span)], names=["doc_id", "tag", "span"])
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,11 +484,10 @@ def removed_passages(docs: DataFrame) -> DataFrame:
         .mapInArrow(_compare, "doc_id long, tag long, span long")
     )
     if not hot.isEmpty():
-        suffixes = with_around(grams.join(hot, "gram", "left_semi"))
-        suffixes = settle(suffixes.mapInArrow(_spread, "gram long, h long, doc_id long, tag long, span long"), "hot-suffixes")
-        least = suffixes.groupBy("gram", "h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        later = suffixes.join(least.filter("least < most"), ["gram", "h"]).filter("doc_id > least")
-        compared = compared.unionByName(later.select("doc_id", "tag", "span"))
+        suffixes = settle(with_around(grams.join(hot, "gram", "left_semi")).mapInArrow(_spread, _SPREAD), "hot-suffixes")
+        met = suffixes.filter("h IS NOT NULL").repartition("h").sortWithinPartitions("h")
+        later = met.mapInArrow(_sorted_suffixes, "doc_id long, tag long, span long")
+        compared = compared.unionByName(later).unionByName(suffixes.filter("h IS NULL").select("doc_id", "tag", "span"))
     spans = whole.unionByName(compared).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
     found = by_id.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
     unknown = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<long>").alias("spans"))
