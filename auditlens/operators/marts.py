@@ -108,6 +108,16 @@ def dim_query_statements(staged: DataFrame) -> DataFrame:
     )
 
 
+def last_days(staged: DataFrame) -> DataFrame:
+    """Rows (job_key, last_day): the last day on which a job was logged or started.
+
+    No execution of a job starts after it, so a reader of executions since a day can leave out the
+    statements of jobs whose last day is before, late starts included.
+    """
+    day = F.greatest(F.to_date("event_timestamp"), F.to_date("start_time"))
+    return staged.groupBy("job_id").agg(F.max(day).alias("last_day")).select(job_key(), "last_day")
+
+
 def dim_job_labels(staged: DataFrame) -> DataFrame:
     """One row per label. Labels are cut at commas and colons; an empty label is left out."""
     texts = F.split(F.regexp_replace("config_labels", r'[{}"]', ""), ",")

@@ -272,9 +272,17 @@ def rpt_dbt_metrics(
 def rpt_query_alerting(
     facts: DataFrame, users: DataFrame, statements: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Each execution of the last days with its user, cost and statement text."""
+    """Each execution of the last days with its user, cost and statement text.
+
+    Where the statements have the last day of their job, those of jobs that ended before are not read;
+    the table is kept in the order of these days. The rest meets the keys of the recent jobs before
+    the texts are moved.
+    """
     since = settings.as_of - dt.timedelta(days=ALERTING_DAYS)
     recent = facts.filter(F.col("statement_date") >= F.lit(since))
+    if "last_day" in statements.columns:
+        statements = statements.filter(F.col("last_day") >= F.lit(since))
+    statements = statements.join(recent.select("job_key").distinct(), "job_key", "left_semi")
     people = users.select("user_key", "username", "user_type")
     return (
         recent.join(people, "user_key")

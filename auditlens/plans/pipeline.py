@@ -24,7 +24,7 @@ from auditlens.session import settle, side_by_side
 # Dimensions: key of the upsert, and columns to cluster by.
 DIMENSIONS = {
     "dim_job": (("job_key", "caller_ip_address"), ("job_key", "dashboard_id", "panel_id")),
-    "dim_query_statements": (("job_key",), ("job_key", "query_statement")),
+    "dim_query_statements": (("job_key",), ("last_day", "job_key", "query_statement")),
     "dim_job_labels": (("job_key", "label_key"), ("job_key", "label_key")),
     "dim_references": (
         ("job_key", "referenced_view_or_table", "layer_used", "object_type"),
@@ -97,12 +97,24 @@ class Build:
     def _dimension(self, name: str, staged: DataFrame) -> None:
         build = getattr(marts, name)
         df = build(staged, self.settings) if name in WITH_SETTINGS else build(staged)
+        if name == "dim_query_statements":
+            df = df.join(self._last_days(staged), "job_key")
         keys, cluster_by = DIMENSIONS[name]
         if self.incremental:
             self.warehouse.upsert(name, df, keys, cluster_by)
         else:
             self.warehouse.replace(name, df, cluster_by, keys)
 
+    def _last_days(self, staged: DataFrame) -> DataFrame:
+        """The last day of each job. One that the table knows already keeps a later day, as an
+        execution logged before the lookback may start after it."""
+        days = marts.last_days(staged)
+        if not self.incremental:
+            return days
+        known = self._table("dim_query_statements").select("job_key", "last_day")
+        known = known.join(days.select("job_key"), "job_key", "left_semi")
+        return days.unionByName(known).groupBy("job_key").agg(F.max("last_day").alias("last_day"))
+
     def _facts(self, staged: DataFrame) -> None:
         self._write_days(
             "fct_statements",
