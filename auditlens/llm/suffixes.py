@@ -34,8 +34,9 @@ BEFORE = LENGTH - GRAM
 SHALLOW = 2
 # Surroundings that are sorted at once. A gram with more of them is sorted offset by offset.
 AT_ONCE = 4096
-# A gram with more surroundings than this is not brought to one task.
-HOT_ROWS = 4096
+# A gram with more surroundings than this is not brought to one task: some 4 MB of them, sorted offset
+# by offset. Both ways sort alike; the second moves a row per suffix, so it is for few grams.
+HOT_ROWS = 32768
 
 _TAG_BITS = 40
 
