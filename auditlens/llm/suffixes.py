@@ -8,15 +8,17 @@ have equal anchors, so suffixes need to be sorted only next to others with the s
 2. Where a gram stands in different surroundings, the suffixes around it are sorted: by multikey
    quicksort to a shallow depth, and groups that are still equal there by blind tries. Suffixes
    equal over 50 bytes end in one leaf, and the least doc_id of the leaf stays.
-3. A gram with very many surroundings is not sorted in one task. Its suffixes are sorted by batches of
-   anchors, and only the least document of each different suffix goes on; those meet by a hash of
-   their 50 bytes and are sorted in the same way again.
+3. A gram with very many surroundings is not sorted in one task. They are sorted by batches of anchors,
+   and only the least document of each different suffix goes on: neighbouring suffixes in one row,
+   which meet by the bytes that all of them hold. Where very many meet there too, they are parted
+   again, down to single suffixes, of which only equal ones meet, one from each batch.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,10 @@ BEFORE = LENGTH - GRAM
 SHALLOW = 2
 # Surroundings that are sorted at once. A gram with more of them is sorted offset by offset.
 AT_ONCE = 4096
-# A gram with more surroundings than this is not brought to one task: some 4 MB of them, sorted offset
-# by offset. Both ways sort alike; the second moves a row per suffix, so it is for few grams.
-HOT_ROWS = 32768
+# A group with more rows than this is not brought to one task but parted first, from one width to the
+# next: so many neighbouring suffixes share a row.
+HOT_ROWS = 4096
+WIDTHS = (BEFORE + 1, 8, 1)
 
 _TAG_BITS = 40
 
@@ -271,25 +274,29 @@ def _later(group: np.ndarray, suffixes: np.ndarray, doc: np.ndarray) -> np.ndarr
     return out
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs (doc_id, tag, span) that the suffixes around grams give. Rows come sorted by gram."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        gram = table.column("gram").to_numpy()
-        cuts = np.append(np.flatnonzero(_runs(gram)), len(gram))
-        begin = 0
-        for i in range(1, len(cuts) - 1):
-            if cuts[i + 1] - begin > AT_ONCE and cuts[i] > begin:
-                yield _sorted_around(table.slice(begin, cuts[i] - begin))
-                begin = int(cuts[i])
-        last = int(cuts[-2])
-        if last > begin:
-            yield _sorted_around(table.slice(begin, last - begin))
-        rest = table.slice(last)
-    if rest is not None:
-        yield _sorted_around(rest)
+def _compare(width: int):
+    """Runs (doc_id, tag, span) that the suffixes of groups give. Rows come sorted by group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            group = table.column("group").to_numpy()
+            cuts = np.append(np.flatnonzero(_runs(group)), len(group))
+            begin = 0
+            for i in range(1, len(cuts) - 1):
+                if cuts[i + 1] - begin > AT_ONCE and cuts[i] > begin:
+                    yield _sorted_around(table.slice(begin, cuts[i] - begin), width)
+                    begin = int(cuts[i])
+            last = int(cuts[-2])
+            if last > begin:
+                yield _sorted_around(table.slice(begin, last - begin), width)
+            rest = table.slice(last)
+        if rest is not None:
+            yield _sorted_around(rest, width)
+
+    return run
 
 
 def _bytes_of(around: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -300,116 +307,155 @@ def _bytes_of(around: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Around:
-    """Anchors with the bytes around them, and the suffixes that begin before each."""
-
-    def __init__(self, table: pa.Table | pa.RecordBatch) -> None:
-        self.gram, self.doc, self.place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
-        around = table.column("around")
-        self.data, self.offsets = _bytes_of(around.combine_chunks() if isinstance(around, pa.ChunkedArray) else around)
+    """Anchors with bytes around them, and the suffixes that begin `first` and up to `width` - 1 more
+    bytes before each. Without a column `first` it is 0, and all suffixes that fit are open."""
+
+    def __init__(self, table: pa.Table, width: int) -> None:
+        self.width = width
+        self.group, self.doc, self.place = (table.column(c).to_numpy() for c in ("group", "doc_id", "place"))
+        self.data, self.offsets = _bytes_of(table.column("around").combine_chunks())
+        parted = "first" in table.column_names
+        self.first = table.column("first").to_numpy().astype(np.int64) if parted else np.zeros(len(self.doc), np.int64)
         self.at = self.place & ((1 << _TAG_BITS) - 1)
-        self.left = np.minimum(self.at, BEFORE)
-        ahead = np.arange(BEFORE + 1)
-        self.fits = (ahead <= self.left[:, None]) & (self.left[:, None] - ahead + LENGTH <= np.diff(self.offsets)[:, None])
-
-    def suffixes(self, rows: np.ndarray, ahead: np.ndarray) -> np.ndarray:
-        start = self.offsets[rows] + self.left[rows] - ahead
+        self.left = np.minimum(self.at, self._reach(self.first, width))
+        steps = np.arange(width)
+        self.ahead = self.first[:, None] + steps
+        left = self.left[:, None]
+        self.open = (self.ahead <= left) & (left - self.ahead + LENGTH <= np.diff(self.offsets)[:, None])
+        if parted:
+            self.open &= (table.column("open").to_numpy()[:, None] >> steps & 1).astype(bool)
+
+    @staticmethod
+    def _reach(first: np.ndarray, width: int) -> np.ndarray:
+        """How far before an anchor the bytes of a row begin, if the text does not begin there."""
+        return np.minimum(first + width - 1, BEFORE)
+
+    def _suffixes(self, rows: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        start = self.offsets[rows] + self.left[rows] - self.ahead[rows, steps]
         return self.data[start[:, None] + np.arange(LENGTH)]
 
     def later(self) -> np.ndarray:
-        """By anchor and how far before it a suffix begins: whether a lesser document here has it too.
+        """By anchor and step before it: whether a lesser document here has the suffix too.
 
-        Up to AT_ONCE anchors are sorted at once; more of them, which are those of one gram, offset by
-        offset.
+        Up to AT_ONCE anchors are sorted at once; more of them, which are those of one group, step by
+        step.
         """
-        group = np.cumsum(_runs(self.gram)) if len(self.gram) else self.gram
-        gone = np.zeros(self.fits.shape, dtype=bool)
+        group = np.cumsum(_runs(self.group)) if len(self.group) else self.group
+        gone = np.zeros(self.open.shape, dtype=bool)
 
-        def sort(rows: np.ndarray, ahead: np.ndarray) -> None:
-            gone[rows, ahead] = _later(group[rows] * (BEFORE + 1) + ahead, self.suffixes(rows, ahead), self.doc[rows])
+        def sort(rows: np.ndarray, steps: np.ndarray) -> None:
+            gone[rows, steps] = _later(group[rows] * self.width + steps, self._suffixes(rows, steps), self.doc[rows])
 
-        if len(self.gram) <= AT_ONCE:
-            sort(*np.nonzero(self.fits))
+        if len(self.group) <= AT_ONCE:
+            sort(*np.nonzero(self.open))
         else:
-            for a in range(BEFORE + 1):
-                rows = np.flatnonzero(self.fits[:, a])
-                sort(rows, np.full(len(rows), a))
+            for step in range(self.width):
+                rows = np.flatnonzero(self.open[:, step])
+                sort(rows, np.full(len(rows), step))
         return gone
 
     def runs(self, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(doc_id, tag, span) of the bytes that suffixes cover, neighbours in one span."""
+        """(doc_id, place, span) of the bytes that suffixes cover, neighbours in one span."""
         gone = gone[:, ::-1]
         edge = np.zeros((len(gone), 1), np.int8)
         step = np.diff(np.concatenate((edge, gone.astype(np.int8), edge), axis=1), axis=1)
         row, begin = np.nonzero(step == 1)
         _, end = np.nonzero(step == -1)
-        at = self.at[row] - BEFORE + begin
-        return self.doc[row], self.place[row] >> _TAG_BITS, at * 256 + (end - begin - 1 + LENGTH)
-
+        at = self.at[row] - (self.first[row] + self.width - 1) + begin
+        return self.doc[row], self.place[row], at * 256 + (end - begin - 1 + LENGTH)
 
-_SPREAD = "h long, suffix binary, doc_id long, tag long, span long"
+    def parts(self, still: np.ndarray, width: int) -> pa.RecordBatch:
+        """Rows with the suffixes that are `still` open, up to `width` neighbours in one.
 
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes around the anchors of hot grams, to be sorted in parts.
+        Their group is a hash of the bytes that all these suffixes hold, so equal suffixes are in the
+        same group.
+        """
+        count = -(-self.width // width)
+        bits = np.zeros((len(still), count * width), dtype=bool)
+        bits[:, : self.width] = still
+        bits = bits.reshape(len(still), count, width)
+        row, part = np.nonzero(bits.any(axis=2))
+        first = self.first[row] + part * width
+        anchor = self.offsets[row] + self.left[row]
+        begin = anchor - np.minimum(self.left[row], self._reach(first, width))
+        size = np.minimum(anchor - first + LENGTH, self.offsets[row + 1]) - begin
+        ends = np.concatenate(([0], np.cumsum(size)))
+        data = self.data[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+        shared = anchor - first
+        group = range_hash(prefix_sums(self.data), shared, shared + LENGTH + 1 - width) ^ first.astype(np.uint64)
+        buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes())]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(group.view(np.int64)),
+                pa.array(first.astype(np.int32)),
+                pa.array((bits[row, part] << np.arange(width)).sum(axis=1).astype(np.int32)),
+                pa.BinaryArray.from_buffers(pa.binary(), len(row), buffers),
+                pa.array(self.doc[row]),
+                pa.array(self.place[row]),
+                pa.nulls(len(row), pa.int64()),
+            ],
+            names=_PART_NAMES,
+        )
+
+
+_PARTS = "group long, first int, open int, around binary, doc_id long, place long, span long"
+_PART_NAMES = [column.split()[0] for column in _PARTS.split(", ")]
+
+
+def _part(width: int, narrower: int):
+    """Rows of groups that are too large for one task, parted.
 
     Those of a batch are sorted here already: what a lesser document of the batch has too is removed,
-    whatever others hold, and comes as a run without h. Of the rest, which is one document for each
-    different suffix, each goes on as a row: its hash, by which equal ones meet, and its bytes.
+    whatever others hold, and comes as a span without a group. What is left is one document for each
+    different suffix.
     """
-    names = ["h", "suffix", "doc_id", "tag", "span"]
-    for batch in batches:
-        for first in range(0, batch.num_rows, AT_ONCE):
-            rows = batch.slice(first, AT_ONCE)
-            around = _Around(rows.take(pa.compute.sort_indices(rows.column("gram"))))
-            gone = around.later()
-            doc, tag, span = around.runs(gone)
-            if len(doc):
-                empty = [pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.binary())]
-                yield pa.RecordBatch.from_arrays([*empty, pa.array(doc), pa.array(tag), pa.array(span)], names=names)
-            row, ahead = np.nonzero(around.fits & ~gone)
-            suffixes = around.suffixes(row, ahead)
-            start = np.arange(len(row)) * LENGTH
-            h = range_hash(prefix_sums(suffixes.reshape(-1)), start, start + LENGTH)
-            ends = pa.py_buffer(np.append(start, len(row) * LENGTH).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h.view(np.int64)),
-                    pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, ends, pa.py_buffer(suffixes.tobytes())]),
-                    pa.array(around.doc[row]),
-                    pa.array(around.place[row] >> _TAG_BITS),
-                    pa.array((around.at[row] - ahead) * 256 + LENGTH),
-                ],
-                names=names,
-            )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, AT_ONCE):
+                rows = pa.Table.from_batches([batch.slice(begin, AT_ONCE)]).sort_by("group")
+                around = _Around(rows, width)
+                gone = around.later()
+                doc, place, span = around.runs(gone)
+                none = [pa.nulls(len(doc), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())]
+                columns = [*none, pa.array(doc), pa.array(place), pa.array(span)]
+                yield pa.RecordBatch.from_arrays(columns, names=_PART_NAMES)
+                yield around.parts(around.open & ~gone, narrower)
 
-def _sorted_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs (doc_id, tag, span) of suffixes that a lesser document has. Rows come sorted by h, so
-    equal ones stand together; they are sorted by all their bytes."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-        last = int(np.flatnonzero(_runs(table.column("h").to_numpy()))[-1])
-        if last:
-            yield _without_first(table.slice(0, last))
-        rest = table.slice(last).combine_chunks().to_batches()[0]
-    if rest is not None:
-        yield _without_first(pa.Table.from_batches([rest]))
+    return run
 
 
-def _without_first(table: pa.Table) -> pa.RecordBatch:
-    table = table.combine_chunks()
-    data, offsets = _bytes_of(table.column("suffix").chunk(0))
-    suffixes = data[offsets[0] : offsets[-1]].reshape(-1, LENGTH)
-    gone = _later(np.cumsum(_runs(table.column("h").to_numpy())), suffixes, table.column("doc_id").to_numpy())
-    found = table.select(["doc_id", "tag", "span"]).filter(pa.array(gone)).combine_chunks()
-    return found.to_batches()[0] if found.num_rows else pa.RecordBatch.from_pylist([], schema=found.schema)
+def _sorted_around(table: pa.Table, width: int) -> pa.RecordBatch:
+    around = _Around(table, width)
+    doc, place, span = around.runs(around.later())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc), pa.array(place >> _TAG_BITS), pa.array(span)], names=["doc_id", "tag", "span"]
+    )
+
+
+def _spans(rows: DataFrame, complete: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows (doc_id, tag, span) of suffixes that a lesser document of their group has. `complete` adds
+    the bytes around to rows (group, doc_id, place)."""
+    found = []
 
+    def compared(rows: DataFrame, width: int) -> DataFrame:
+        rows = rows.repartition("group").sortWithinPartitions("group")
+        return rows.mapInArrow(_compare(width), "doc_id long, tag long, span long")
 
-def _sorted_around(table: pa.Table) -> pa.RecordBatch:
-    around = _Around(table)
-    doc, tag, span = around.runs(around.later())
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(span)], names=["doc_id", "tag", "span"])
+    for width, narrower in zip(WIDTHS, WIDTHS[1:]):
+        counts = rows.groupBy("group").agg(F.count("*").alias("n"))
+        hot = settle(counts.filter(F.col("n") > HOT_ROWS).select("group"), "hot-groups")
+        found.append(compared(complete(rows.join(hot, "group", "left_anti")), width))
+        if hot.isEmpty():
+            break
+        hot_rows = complete(rows.join(hot, "group", "left_semi"))
+        parts = settle(hot_rows.mapInArrow(_part(width, narrower), _PARTS), "parts")
+        tag = F.shiftright("place", _TAG_BITS).alias("tag")
+        found.append(parts.filter("group IS NULL").select("doc_id", tag, "span"))
+        rows, complete = parts.filter("group IS NOT NULL").drop("span"), lambda rows: rows
+    else:
+        found.append(compared(rows, WIDTHS[-1]))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,21 +521,13 @@ def removed_passages(docs: DataFrame) -> DataFrame:
     )
     by_id = known.repartition("doc_id")
     around = F.substring(F.col("text").cast("binary"), start.cast("int") + 1, (F.col("at") + LENGTH - start).cast("int"))
-    grams = met.filter("gram IS NOT NULL")
-    hot = settle(grams.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select("gram"), "hot-grams")
-    with_around = lambda rows: rows.join(by_id, ["doc_id", "tag"]).select("gram", "doc_id", "place", around.alias("around"))
-    compared = (
-        with_around(grams.join(hot, "gram", "left_anti"))
-        .repartition("gram")
-        .sortWithinPartitions("gram")
-        .mapInArrow(_compare, "doc_id long, tag long, span long")
-    )
-    if not hot.isEmpty():
-        suffixes = settle(with_around(grams.join(hot, "gram", "left_semi")).mapInArrow(_spread, _SPREAD), "hot-suffixes")
-        met = suffixes.filter("h IS NOT NULL").repartition("h").sortWithinPartitions("h")
-        later = met.mapInArrow(_sorted_suffixes, "doc_id long, tag long, span long")
-        compared = compared.unionByName(later).unionByName(suffixes.filter("h IS NULL").select("doc_id", "tag", "span"))
-    spans = whole.unionByName(compared).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
+
+    def with_around(rows: DataFrame) -> DataFrame:
+        return rows.join(by_id, ["doc_id", "tag"]).select("group", "doc_id", "place", around.alias("around"))
+
+    grams = met.filter("gram IS NOT NULL").withColumnRenamed("gram", "group")
+    spans = whole.unionByName(_spans(grams, with_around))
+    spans = spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
     found = by_id.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
     unknown = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<long>").alias("spans"))
     return found.unionByName(unknown).mapInArrow(

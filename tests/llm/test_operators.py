@@ -305,9 +305,10 @@ def without_passages(rows):
         yield d, len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("at_once", [4096, 1])
-def test_passages(docs, monkeypatch, at_once):
+@pytest.mark.parametrize("at_once, hot_rows", [(4096, 4096), (1, 4096), (4096, 1)])
+def test_passages(docs, monkeypatch, at_once, hot_rows):
     monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+    monkeypatch.setattr(suffixes, "HOT_ROWS", hot_rows)
     found = suffixes.removed_passages(docs).drop("removed").collect()
     same([tuple(r) for r in found], without_passages([(d, (t or "").encode()) for d, t in texts(docs)]))
 
@@ -322,20 +323,21 @@ def test_passages_of_hot_grams(spark, monkeypatch, hot_rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     expected = list(without_passages([(d, t.encode()) for d, t in rows]))
     monkeypatch.setattr(suffixes, "HOT_ROWS", hot_rows)
-    plain, limit = suffixes._sorted_around, max(hot_rows, 1)
+    compare, limit = suffixes._compare, max(hot_rows, 1)
 
-    def bounded(table):
-        assert max(collections.Counter(table.column("gram").to_pylist()).values()) <= limit
-        return plain(table)
+    def bounded(width):
+        """Of single suffixes, equal ones meet: a row from each batch that holds them."""
+        run = compare(width)
 
-    monkeypatch.setattr(suffixes, "_sorted_around", bounded)
-    compare = suffixes._compare
+        def checked(batches):
+            batches = list(batches)
+            groups = collections.Counter(g for b in batches for g in b.column("group").to_pylist())
+            assert width == 1 or max(groups.values(), default=0) <= limit
+            yield from run(iter(batches))
 
-    def checked(batches):  # runs in the workers, which import the module anew
-        suffixes._sorted_around = bounded
-        yield from compare(batches)
+        return checked
 
-    monkeypatch.setattr(suffixes, "_compare", checked)
+    monkeypatch.setattr(suffixes, "_compare", bounded)
     same([tuple(r) for r in suffixes.removed_passages(docs).drop("removed").collect()], expected)
 
 
