@@ -141,46 +141,57 @@ def _fragments(buckets: list[int], gone: list[bool], payloads: list[bytes]) -> p
     )
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, doc_id, place): gram is NULL where the surroundings are removed as a whole, and
-    set where they have to be compared with others of the same gram. One bucket at a time."""
-    held: list[bytes] = []
-    current = None
-    for batch in batches:
-        for bucket, gone, payload in zip(*(batch.column(c).to_pylist() for c in ("bucket", "gone", "payload"))):
-            if gone:
-                doc, place = _unpacked(payload, 2)
-                yield _met(None, doc, place)
-                continue
-            if bucket != current and held:
-                yield from _bucket(held)
-                held = []
-            current = bucket
-            held.append(payload)
-    if held:
-        yield from _bucket(held)
+def _meet(hot_rows: int):
+    """Rows (gram, hot, doc_id, place): gram is NULL where the surroundings are removed as a whole, and
+    set where they have to be compared with others of the same gram; hot tells whether these are more
+    than `hot_rows`. One bucket at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        current = None
+        for batch in batches:
+            for bucket, gone, payload in zip(*(batch.column(c).to_pylist() for c in ("bucket", "gone", "payload"))):
+                if gone:
+                    doc, place = _unpacked(payload, 2)
+                    yield _met(doc, place)
+                    continue
+                if bucket != current and held:
+                    yield from _bucket(held, hot_rows)
+                    held = []
+                current = bucket
+                held.append(payload)
+        if held:
+            yield from _bucket(held, hot_rows)
 
+    return run
 
-def _met(grams: np.ndarray | None, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    gram = pa.nulls(len(doc), pa.int64()) if grams is None else pa.array(grams.view(np.int64))
+
+def _met(doc: np.ndarray, place: np.ndarray, grams: np.ndarray | None = None, hot: np.ndarray | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [gram, pa.array(doc.view(np.int64)), pa.array(place.view(np.int64))], names=["gram", "doc_id", "place"]
+        [
+            pa.nulls(len(doc), pa.int64()) if grams is None else pa.array(grams.view(np.int64)),
+            pa.nulls(len(doc), pa.bool_()) if hot is None else pa.array(hot),
+            pa.array(doc.view(np.int64)),
+            pa.array(place.view(np.int64)),
+        ],
+        names=["gram", "hot", "doc_id", "place"],
     )
 
 
-def _bucket(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _bucket(payloads: list[bytes], hot_rows: int) -> Iterator[pa.RecordBatch]:
     columns = [np.concatenate(c) for c in zip(*(_unpacked(p, 4) for p in payloads))]
     columns[2] = columns[2].view(np.int64)
     grams, _, doc, place, gone, new = _combined(*columns)
     if gone.any():
-        yield _met(None, doc[gone], place[gone])
+        yield _met(doc[gone], place[gone])
     new_gram = _runs(grams)
     of_gram, begins = np.cumsum(new_gram) - 1, np.flatnonzero(new_gram)
     kinds = np.bincount(of_gram, weights=new)
     least, most = np.minimum.reduceat(doc, begins), np.maximum.reduceat(doc, begins)
     compare = ~gone & ((kinds > 1) & (least < most))[of_gram]
     if compare.any():
-        yield _met(grams[compare], doc[compare], place[compare])
+        hot = np.bincount(of_gram, weights=compare)[of_gram] > hot_rows
+        yield _met(doc[compare], place[compare], grams[compare], hot[compare])
 
 
 # The suffixes around grams that stand in different surroundings.
@@ -275,12 +286,17 @@ def _later(group: np.ndarray, suffixes: np.ndarray, doc: np.ndarray) -> np.ndarr
 
 
 def _compare(width: int):
-    """Runs (doc_id, tag, span) that the suffixes of groups give. Rows come sorted by group."""
+    """Runs (doc_id, tag, span) that the suffixes of groups give, and those that are known. Rows come
+    sorted by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
+            table, known = _open_and_known(batch)
+            if known.num_rows:
+                yield _known_runs(*(known.column(c).to_numpy() for c in ("doc_id", "place", "span")))
+            if not table.num_rows:
+                continue
             table = table if rest is None else pa.concat_tables([rest, table])
             group = table.column("group").to_numpy()
             cuts = np.append(np.flatnonzero(_runs(group)), len(group))
@@ -402,59 +418,81 @@ _PARTS = "group long, first int, open int, around binary, doc_id long, place lon
 _PART_NAMES = [column.split()[0] for column in _PARTS.split(", ")]
 
 
+def _open_and_known(batch: pa.RecordBatch) -> tuple[pa.Table, pa.Table]:
+    """Rows with suffixes to compare, and rows that are known spans."""
+    table = pa.Table.from_batches([batch])
+    if "span" not in table.column_names:
+        return table, table.slice(0, 0)
+    known = table.column("span").is_valid()
+    return table.filter(pa.compute.invert(known)), table.filter(known)
+
+
 def _part(width: int, narrower: int):
     """Rows of groups that are too large for one task, parted.
 
     Those of a batch are sorted here already: what a lesser document of the batch has too is removed,
-    whatever others hold, and comes as a span without a group. What is left is one document for each
-    different suffix.
+    whatever others hold, and comes as a known span, with a group that spreads such rows. What is left
+    is one document for each different suffix.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, AT_ONCE):
-                rows = pa.Table.from_batches([batch.slice(begin, AT_ONCE)]).sort_by("group")
-                around = _Around(rows, width)
+            table, known = _open_and_known(batch)
+            if known.num_rows:
+                yield from known.select(_PART_NAMES).to_batches()
+            for begin in range(0, table.num_rows, AT_ONCE):
+                around = _Around(table.slice(begin, AT_ONCE).sort_by("group"), width)
                 gone = around.later()
                 doc, place, span = around.runs(gone)
-                none = [pa.nulls(len(doc), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())]
-                columns = [*none, pa.array(doc), pa.array(place), pa.array(span)]
+                none = [pa.nulls(len(doc), t) for t in (pa.int32(), pa.int32(), pa.binary())]
+                spread = (doc ^ place) * np.int64(0x2545F4914F6CDD1D)
+                columns = [pa.array(spread), *none, pa.array(doc), pa.array(place), pa.array(span)]
                 yield pa.RecordBatch.from_arrays(columns, names=_PART_NAMES)
                 yield around.parts(around.open & ~gone, narrower)
 
     return run
 
 
-def _sorted_around(table: pa.Table, width: int) -> pa.RecordBatch:
-    around = _Around(table, width)
-    doc, place, span = around.runs(around.later())
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, n) of those with suffixes to compare, by batch."""
+    for batch in batches:
+        group, n = np.unique(_open_and_known(batch)[0].column("group").to_numpy(), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(n)], names=["group", "n"])
+
+
+def _known_runs(doc: np.ndarray, place: np.ndarray, span: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(doc), pa.array(place >> _TAG_BITS), pa.array(span)], names=["doc_id", "tag", "span"]
     )
 
 
-def _spans(rows: DataFrame, complete: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows (doc_id, tag, span) of suffixes that a lesser document of their group has. `complete` adds
-    the bytes around to rows (group, doc_id, place)."""
-    found = []
+def _sorted_around(table: pa.Table, width: int) -> pa.RecordBatch:
+    around = _Around(table, width)
+    return _known_runs(*around.runs(around.later()))
+
+
+def _compared(rows: DataFrame, width: int) -> DataFrame:
+    rows = rows.repartition("group").sortWithinPartitions("group")
+    return rows.mapInArrow(_compare(width), "doc_id long, tag long, span long")
 
-    def compared(rows: DataFrame, width: int) -> DataFrame:
-        rows = rows.repartition("group").sortWithinPartitions("group")
-        return rows.mapInArrow(_compare(width), "doc_id long, tag long, span long")
 
+def _spans(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows (doc_id, tag, span) of suffixes that a lesser document of their group has.
+
+    Both frames hold rows (group, doc_id, place, around); groups of `hot` are too large for one task.
+    All is one plan, so that texts are shuffled once. Parts are dealt out by group and document: their
+    counts and both joins read them from there, and no large group comes together.
+    """
+    found = [_compared(rows, WIDTHS[0])]
     for width, narrower in zip(WIDTHS, WIDTHS[1:]):
-        counts = rows.groupBy("group").agg(F.count("*").alias("n"))
-        hot = settle(counts.filter(F.col("n") > HOT_ROWS).select("group"), "hot-groups")
-        found.append(compared(complete(rows.join(hot, "group", "left_anti")), width))
-        if hot.isEmpty():
-            break
-        hot_rows = complete(rows.join(hot, "group", "left_semi"))
-        parts = settle(hot_rows.mapInArrow(_part(width, narrower), _PARTS), "parts")
-        tag = F.shiftright("place", _TAG_BITS).alias("tag")
-        found.append(parts.filter("group IS NULL").select("doc_id", tag, "span"))
-        rows, complete = parts.filter("group IS NOT NULL").drop("span"), lambda rows: rows
-    else:
-        found.append(compared(rows, WIDTHS[-1]))
+        parts = hot.mapInArrow(_part(width, narrower), _PARTS)
+        if narrower > 1:
+            parts = parts.repartition("group", "doc_id")
+            counts = parts.mapInArrow(_counted, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
+            large = counts.filter(F.col("n") > HOT_ROWS).select("group")
+            hot = parts.join(large, "group", "left_semi")
+            parts = parts.join(large, "group", "left_anti")
+        found.append(_compared(parts, narrower))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -511,7 +549,7 @@ def removed_passages(docs: DataFrame) -> DataFrame:
         _find_anchors(4 * shuffle_partitions(spark)), "bucket int, gone boolean, payload binary"
     )
     fragments = fragments.repartition("bucket").sortWithinPartitions("bucket")
-    met = settle(fragments.mapInArrow(_meet, "gram long, doc_id long, place long"), "anchors")
+    met = settle(fragments.mapInArrow(_meet(HOT_ROWS), "gram long, hot boolean, doc_id long, place long"), "anchors")
     met = met.withColumns(
         {"tag": F.shiftright("place", _TAG_BITS), "at": F.col("place").bitwiseAND(F.lit((1 << _TAG_BITS) - 1))}
     )
@@ -526,7 +564,7 @@ def removed_passages(docs: DataFrame) -> DataFrame:
         return rows.join(by_id, ["doc_id", "tag"]).select("group", "doc_id", "place", around.alias("around"))
 
     grams = met.filter("gram IS NOT NULL").withColumnRenamed("gram", "group")
-    spans = whole.unionByName(_spans(grams, with_around))
+    spans = whole.unionByName(_spans(with_around(grams.filter("NOT hot")), with_around(grams.filter("hot"))))
     spans = spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
     found = by_id.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
     unknown = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<long>").alias("spans"))
