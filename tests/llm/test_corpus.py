@@ -1,6 +1,7 @@
-"""The pipeline against its stages in plain Python, and its contract."""
+"""The contract of the pipeline: its stages in turn, its tokens against the library, odd rows, no rows."""
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -31,3 +32,20 @@ def test_stages(spark):
         start += n
     found = [(r.doc_id, r.start, r.n_tokens) for r in corpus_pipeline.run(spark, SF_DIR).collect()]
     assert sorted(found) == expected
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_odd_rows_and_none(spark, odd, none, number):
+    stage = corpus_pipeline.STAGES[number][1]
+    found, empty = stage(spark, odd, SF_DIR), stage(spark, none, SF_DIR)
+    assert empty.count() == 0
+    rows = found.collect()
+    if number == 4:
+        assert len(rows) == odd.count()
+        return
+    assert found.columns == odd.columns == empty.columns
+    texts = [r.text for r in rows]
+    given = {(r.doc_id, r.text) for r in odd.collect()}
+    assert {(r.doc_id, r.text) for r in rows} <= given
+    # Texts without words fail the quality rules, and are one class of near copies.
+    assert (None in texts, "" in texts) == [(False, False), (True, False), (True, True), (True, True)][number]
