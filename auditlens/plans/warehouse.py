@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +18,8 @@ from auditlens.settings import Settings
 _SNAPSHOT = "snapshot="
 _VERSION = "version"
 _DELTA = f"{_VERSION}="
+# A table by day has a folder for each run that wrote some of its days.
+_RUN = "written_by_run="
 # Marks the key of such a table in its schema.
 _KEY = {"upsert_key": True}
 
@@ -59,41 +63,96 @@ class Warehouse:
         """Write a table partitioned by day: all of it, or only the partitions of `days`.
 
         With `days`, rows of other days are not written and other partitions are kept; a partition
-        of `days` without new rows is emptied. Rows are spread by ranges of day and cluster
-        columns, so one large day is written by many tasks and each file covers a narrow range. Where
-        `cluster_by` is None they are only brought together by day, and a large day is split by
-        size: ranges have to be sampled first, which would do the work above twice.
+        of `days` without new rows is emptied. All days change at once: rows go to a folder of this
+        run, and then one file is put in place that says where each day is. Until then readers find
+        the former days, also where a run fails; who has read before is not disturbed while
+        `Settings.kept_snapshots` hold. A table is written by one run at a time.
+
+        Rows are spread by ranges of day and cluster columns, so one large day is written by many
+        tasks and each file covers a narrow range. Where `cluster_by` is None they are only brought
+        together by day, and a large day is split by size: ranges have to be sampled first, which
+        would do the work above twice.
         """
-
-        def arranged(rows: DataFrame) -> DataFrame:
-            if cluster_by is None:
-                return rows.hint("rebalance", F.col(day))
-            return _clustered(rows, [day, *cluster_by])
-
-        self._keep_schema(name, df)
-        if days is None:
-            self._write_partitions(name, arranged(df), day, "static")
+        rows = df if days is None else df.filter(F.col(day).isin(*days))
+        if cluster_by is None:
+            rows = rows.hint("rebalance", F.col(day))
         else:
-            recent = arranged(df.filter(F.col(day).isin(*days)))
-            seen = Observation()
-            observed = recent.observe(seen, F.collect_set(day).alias("days"))
-            self._write_partitions(name, observed, day, "dynamic")
-            self._drop_days(name, day, set(days) - set(seen.get["days"] or ()))
+            rows = _clustered(rows, [day, *cluster_by])
+        number = max((*self._numbers(name, _RUN, ended=False), *self._states(name)), default=-1) + 1
+        written = self._numbered(name, _RUN, number)
+        rows.write.partitionBy(day).parquet(written)
+        kept = {}
+        if days is not None and self._states(name):
+            replaced = {f"{day}={d}" for d in days}
+            kept = {d: n for d, n in self._state(name)["days"].items() if d not in replaced}
+        found = {d: number for d in self._names(written) if d.startswith(f"{day}=")}
+        self._keep_state(name, number, {"schema": df.schema.json(), "days": kept | found})
+        self._expire_states(name)
         return self.read(name)
 
-    def _write_partitions(self, name: str, df: DataFrame, day: str, mode: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(day)
-            .parquet(self.path(name))
-        )
-
-    def _drop_days(self, name: str, day: str, days: set[dt.date]) -> None:
-        for gone in days:
-            folder, files = self._folder(f"{self.path(name)}/{day}={gone}")
+    # A table by day is the state of the highest number: a file that says which run wrote each of its
+    # days, and what columns there are. It is there from one rename on.
+
+    def _states_path(self, name: str) -> str:
+        return f"{self.path(name)}/_states"
+
+    def _states(self, name: str) -> list[int]:
+        """Numbers of the states of a table by day, oldest first."""
+        return sorted(int(n) for n in self._names(self._states_path(name)) if n.isdigit())
+
+    def _state(self, name: str, number: int | None = None) -> dict:
+        """A state of a table, or else the one of the highest number."""
+        number = self._states(name)[-1] if number is None else number
+        file, files = self._folder(f"{self._states_path(name)}/{number:08d}")
+        opened = files.open(file)
+        try:
+            return json.loads(bytes(opened.readAllBytes()).decode())
+        finally:
+            opened.close()
+
+    def _keep_state(self, name: str, number: int, state: dict) -> None:
+        """Put a state in place. Of two runs that write a table at once, the later one fails."""
+        file, files = self._folder(f"{self._states_path(name)}/{number:08d}")
+        unfinished = file.suffix(f".{uuid.uuid4().hex}")
+        created = files.create(unfinished, False)
+        try:
+            created.write(bytearray(json.dumps(state).encode()))
+        finally:
+            created.close()
+        if files.exists(file) or not files.rename(unfinished, file):
+            raise RuntimeError(f"{name} was written by another run meanwhile")
+
+    def _read_days(self, name: str) -> DataFrame:
+        state = self._state(name)
+        schema = T.StructType.fromJson(json.loads(state["schema"]))
+        paths = [f"{self._numbered(name, _RUN, n)}/{d}" for d, n in sorted(state["days"].items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(schema).option("basePath", self.path(name))
+        return read.parquet(*paths).select(*schema.names)
+
+    def _expire_states(self, name: str) -> None:
+        """Drop states beyond those kept, and the days that no state left needs."""
+        states = self._states(name)
+        left = states[-self.settings.kept_snapshots :]
+        needed = {(n, d) for state in left for d, n in self._state(name, state)["days"].items()}
+        gone = [f"{self._states_path(name)}/{n:08d}" for n in states if n not in left]
+        for n in self._numbers(name, _RUN, ended=False):
+            path = self._numbered(name, _RUN, n)
+            unused = [d for d in self._names(path) if "=" in d and (n, d) not in needed]
+            whole = not any(run == n for run, _ in needed)
+            gone += [path] if whole else [f"{path}/{d}" for d in unused]
+        for path in gone:
+            folder, files = self._folder(path)
             files.delete(folder, True)
 
+    def _names(self, path: str) -> list[str]:
+        """Names of what a folder holds; none if there is no such folder."""
+        folder, files = self._folder(path)
+        if not files.exists(folder):
+            return []
+        return [status.getPath().getName() for status in files.listStatus(folder)]
+
     def _folder(self, path: str):
         """A path and its file system."""
         context = self.spark.sparkContext
@@ -133,6 +192,8 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """A table as it is now; of one that is upserted, the newest version of each key."""
+        if self._states(name):
+            return self._read_days(name)
         snapshot = self._latest_snapshot(name)
         path = self.path(name) if snapshot is None else self._numbered(name, _SNAPSHOT, snapshot)
         schema = self.spark.read.parquet(self._schema_path(name)).schema
@@ -184,16 +245,13 @@ class Warehouse:
     def _numbered(self, name: str, kind: str, number: int) -> str:
         return f"{self.path(name)}/{kind}{number:08d}"
 
-    def _numbers(self, name: str, kind: str) -> list[int]:
-        """Numbers of the folders of a kind that were written to their end, oldest first."""
-        folder, files = self._folder(self.path(name))
-        if not files.exists(folder):
-            return []
+    def _numbers(self, name: str, kind: str, ended: bool = True) -> list[int]:
+        """Numbers of the folders of a kind, oldest first; of those written to their end, or all."""
+        path = self.path(name)
         return sorted(
-            int(status.getPath().getName().removeprefix(kind))
-            for status in files.listStatus(folder)
-            if status.getPath().getName().startswith(kind)
-            and files.exists(status.getPath().suffix("/_SUCCESS"))
+            int(folder.removeprefix(kind))
+            for folder in self._names(path)
+            if folder.startswith(kind) and (not ended or "_SUCCESS" in self._names(f"{path}/{folder}"))
         )
 
     def _latest_snapshot(self, name: str) -> int | None:

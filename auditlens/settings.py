@@ -74,7 +74,8 @@ class Settings:
 
     # Incremental runs take today and this many days before.
     lookback_days: int = 3
-    # Snapshots of an upserted table that stay for their readers, the latest included, and how many
+    # Snapshots of an upserted table, and states of a table by day, that stay for their readers, the
+    # latest included, and how many
     # upserts write their own rows only, before the next snapshot is written.
     kept_snapshots: int = 3
     versions_per_snapshot: int = 7

@@ -36,6 +36,51 @@ def test_whole_table_by_day(spark, warehouse):
     assert values(warehouse.write_days("t", frame(spark, [("b", 2, DAYS[1])]), "day"), "key") == [("b",)]
 
 
+def test_several_days_change_at_once(spark, warehouse, tmp_path, monkeypatch):
+    old = [("a", 1, DAYS[0]), ("b", 2, DAYS[1]), ("c", 3, DAYS[2])]
+    warehouse.write_days("t", frame(spark, old), "day", ["key"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    opened = warehouse.read("t")
+    new = frame(spark, [("d", 4, DAYS[1]), ("e", 5, DAYS[2])])
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "_keep_state", killed)
+        with pytest.raises(KeyboardInterrupt):
+            warehouse.write_days("t", new, "day", ["key"], days=DAYS[1:])
+    # All rows of the run are there by now, and nobody reads them.
+    assert values(warehouse.read("t"), "key") == [("a",), ("b",), ("c",)]
+    table = warehouse.write_days("t", new, "day", ["key"], days=DAYS[1:])
+    assert values(table, "key", "value") == [("a", 1), ("d", 4), ("e", 5)]
+    assert values(opened, "key", "value") == [("a", 1), ("b", 2), ("c", 3)]
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert table.columns == ["key", "value", "day"]
+
+
+def test_days_that_no_state_needs_expire(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), replace(SETTINGS, kept_snapshots=2))
+    warehouse.write_days("t", frame(spark, [("a", 1, DAYS[0]), ("b", 1, DAYS[1])]), "day")
+    for n in (2, 3, 4):
+        table = warehouse.write_days("t", frame(spark, [("b", n, DAYS[1])]), "day", days=DAYS[1:])
+    found = sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("written*/day=*"))
+    assert [p.split("=", 1)[1] for p in found] == [
+        "00000000/day=2024-01-01",
+        "00000002/day=2024-01-02",
+        "00000003/day=2024-01-02",
+    ]
+    assert values(table, "key", "value") == [("a", 1), ("b", 4)]
+    assert values(warehouse.write_days("t", frame(spark, []), "day"), "key") == []
+
+
+def test_of_two_runs_at_once_one_fails(spark, warehouse):
+    warehouse.write_days("t", frame(spark, [("a", 1, DAYS[0])]), "day")
+    with pytest.raises(RuntimeError):
+        warehouse._keep_state("t", 0, {"schema": "{}", "days": {}})
+    assert values(warehouse.read("t"), "key") == [("a",)]
+
+
 def test_full_write_replaces(spark, warehouse):
     warehouse.write_full("t", frame(spark, [("a", 1, DAYS[0])]))
     table = warehouse.write_full("t", frame(spark, [("b", 2, DAYS[0])]), ["key"])
