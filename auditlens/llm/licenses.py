@@ -23,6 +23,7 @@ BASE_PHRASES = (
     ("gpl", ("general", "public", "license")),
     ("reserved", ("all", "rights", "reserved")),
 )
+BASE_PRIORITIES = (2, 2, 1)
 PRIORITIES = 4
 
 _SPAN = "struct<start:int,finish:int,label:string,priority:int>"
@@ -152,8 +153,9 @@ def detections(text: Column, lower: Column, rules: Sequence[Rule] = RULES) -> Co
 def scanned(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score and detections.
 
-    A NULL text is an empty one: it has no words, no labels and score 0. score is 1 where a base
-    phrase stands, else the highest priority found over the number of priorities.
+    A NULL text is an empty one: it has no words, no labels and score 0. score is the highest
+    priority found over the number of priorities. Of the base phrases, reserved rights count as 1 and a
+    license as 2.
     """
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
     docs = docs.select(*(c for c in docs.columns if c not in added))
@@ -190,7 +192,7 @@ def scanned(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
             "last_word": F.greatest(*(b["last"] for b in base)),
             "base_labels": F.array_join(base_labels, ","),
             "labels": F.array_join(F.sort_array(F.array_distinct(both)), ","),
-            "score": F.when(F.size(base_labels) > 0, F.lit(1.0)).otherwise(priority / PRIORITIES),
+            "score": F.greatest(priority, *(F.when(b["n"] > 0, p) for b, p in zip(base, BASE_PRIORITIES))) / PRIORITIES,
             "detections": found,
         }
     ).drop("scan")

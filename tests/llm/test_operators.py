@@ -290,6 +290,51 @@ def test_licenses(docs):
     assert all(0 <= r.score <= 1 and bool(r.score) == bool(r.labels) for r in found)
 
 
+# Notices as they stand in files, with the label of each.
+NOTICES = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software", "mit"),
+    ("The above copyright notice and this permission notice shall be included in\nall copies or", "mit"),
+    ("License: MIT", "mit"),
+    ("the Expat License", "mit"),
+    ("a Responsible AI License", "rail"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee", "isc"),
+    ("# Redistribution and use in source and binary forms, with or\n# without modification, are permitted", "bsd"),
+    (" * may be used to endorse or promote products derived from\n * this software without", "bsd-3-clause"),
+    ("All advertising materials mentioning features or use of this\n   software must", "bsd-4-clause"),
+    ('license = "BSD-3-Clause"', "bsd-3-clause"),
+    ("Licensed under the Apache License,\n// Version 2.0 (the", "apache-2.0"),
+    ("    http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+    ("released as Apache-2.0 code", "apache-2.0"),
+    ("  GNU GENERAL PUBLIC LICENSE\n     Version 3, 29 June 2007", "gpl-3.0"),
+    ("under the terms of the GNU General Public\n# License as published by the Free Software Foundation; either\n# version 2 of", "gpl-2.0"),
+    (" * Lesser General Public License as published by the Free\n * Software Foundation; either version 2.1 of", "lgpl-2.1"),
+    ("see https://www.gnu.org/licenses/agpl-3.0.html", "agpl-3.0"),
+    ("It is GPLv3+ software", "gpl-3.0"),
+    ("terms of the Mozilla Public\n# License, v. 2.0. If a copy", "mpl-2.0"),
+    ("altered source versions must be plainly marked\n   as such, and", "zlib"),
+    ("This is free and unencumbered software released into\nthe public domain.", "unlicense"),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa-4.0"),
+    ("Creative Commons\nAttribution-ShareAlike 4.0", "cc-by-sa-4.0"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl-2.1"),
+]
+PLAIN = ["the general served a mit of soup", "we clause by clause", "a public house, GPL14 and mpl", "it is granted", ""]
+
+
+def test_notices_as_they_stand_in_files(spark):
+    rows = [*NOTICES, *((text, None) for text in PLAIN)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    for found in licenses.scanned(docs).collect():
+        text, label = rows[found.doc_id]
+        assert [tuple(d) for d in found.detections] == detected(text), text
+        assert (label in found.labels.split(",")) if label else not found.labels, (text, found.labels)
+
+
+def test_score_follows_the_best_detection(spark):
+    rows = ["all rights reserved", "cc by", "general public license", "SPDX-License-Identifier: MIT", "none", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    assert [r.score for r in licenses.scanned(docs).orderBy("doc_id").collect()] == [0.25, 0.5, 0.5, 1.0, 0, 0]
+
+
 def without_passages(rows):
     first = {}
     for d, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
