@@ -27,7 +27,9 @@ NAMES = [
     ("apache-1.1", "apache", r"apache(?: software)? licen[sc]e,? *(?:(?:version|v\.?) *)?1\.1"),
     ("apache-2.0", "apache", r"apache(?: software)? licen[sc]e" + VERSION.format(2)),
     ("apache", "apache", r"apache(?: software)? licen[sc]e"),
-    ("mit", "licen", r"(?:mit|expat|x11) licen[sc]e"),
+    ("mit", "mit", r"mit licen[sc]e"),
+    ("mit", "expat", r"expat licen[sc]e"),
+    ("mit", "x11", r"x11 licen[sc]e"),
     ("mit-0", "mit", r"mit no attribution licen[sc]e"),
     ("bsd-0-clause", "bsd", r"(?:zero-clause|0-clause) bsd licen[sc]e"),
     ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd[ -]2[ -]clause|2-clause bsd) licen[sc]e"),
@@ -96,7 +98,8 @@ NAMES = [
     ("mulan-2.0", "mulan", r"mulan permissive software licen[sc]e"),
     ("upl-1.0", "universal", r"universal permissive licen[sc]e"),
     ("opl-1.0", "publication", r"open publication licen[sc]e"),
-    ("rail", "ai", r"(?:open)?rail(?:-[ms])? licen[sc]e|responsible ai licen[sc]e"),
+    ("rail", "rail", r"(?:open)?rail(?:-[ms])? licen[sc]e"),
+    ("rail", "responsible", r"responsible ai licen[sc]e"),
     ("commercial", "commercial", r"commercial licen[sc]e"),
     ("proprietary", "proprietary", r"proprietary licen[sc]e"),
 ]
@@ -189,7 +192,7 @@ def _named() -> list[Rule]:
         grant = r"(?:licen[sc]ed|released|distributed|published|available) under (?:the )?(?:terms of (?:the )?)?"
         rules.append(_rule(keyword, f"{grant}(?:{name})", label, 3))
         tag = label.replace(".", r"\.") + r"(?:-only|-or-later|\+)?"
-        rules.append(_rule(label, rf"spdx-license-identifier: *{tag}", label, 4))
+        rules.append(_rule("spdx", rf"spdx-license-identifier: *{tag}", label, 4))
         rules.append(_rule(label, rf"licen[sc]e[\"']?(?: *[:=]| is) *[\"']?{tag}", label, 3))
     return rules
 
@@ -227,7 +230,8 @@ def _rules() -> list[Rule]:
     rules.append(_rule("cc0", r"cc0(?:[- ]1\.0)?", "cc0-1.0", 3))
     rules += [_rule(k, r, label, 3) for k, r, label in SENTENCES]
     rules += [_rule(k, r, label, 2) for k, r, label in SHORT_NAMES]
-    return rules + [_rule(k, r, label, p) for k, r, label, p in PHRASES]
+    rules += [_rule(k, r, label, p) for k, r, label, p in PHRASES]
+    return list(dict.fromkeys(rules))
 
 
 RULES = _rules()
