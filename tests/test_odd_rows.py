@@ -136,3 +136,21 @@ def test_query_with_large_dimensions(odd, name):
     finally:
         for setting in settings:
             tables.spark.conf.unset(setting)
+
+
+def test_table_usage_keeps_short_keys_and_the_columns_it_reads(odd, monkeypatch):
+    """Settled tables hold keys of 16 bytes and no column that the report does not read."""
+    tables, _ = odd
+    settled = {}
+
+    def note(df, name):
+        settled[name] = dict(df.dtypes)
+        return df
+
+    monkeypatch.setattr(contract, "settle", note)
+    contract._rpt_table_usage(OddTables(tables.spark, tables.staged))
+    keys = {"job_key", "user_key", "user_agent_key"}
+    for name in ("facts", "jobs", "refs", "users", "agents"):
+        assert {t for c, t in settled[name].items() if c in keys} == {"binary"}
+    assert "start_time" not in settled["facts"]
+    assert len(settled["jobs"]) == 3
