@@ -104,9 +104,11 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.may_be_special = re.compile("|".join(map(re.escape, special)), re.I) if special else None
-        self.number = _Numbers({b"": 0})
-        self.flat = np.zeros(0, np.uint32)
-        self.begin, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        # An empty piece has no ids; the piece that ends a text has the end id.
+        self.end = 1
+        self.number = _Numbers({b"": 0, _END: self.end})
+        self.flat = np.array([END_ID], np.uint32)
+        self.begin, self.length = np.zeros(2, np.int64), np.array([0, 1])
 
     def _learn(self, new: list[bytes]) -> None:
         """Remember the ids of new pieces, encoded as the words of one text."""
@@ -133,12 +135,9 @@ class _Encoder:
         return coded
 
     def _encode_pieces(self, texts: list[str]) -> list[np.ndarray]:
-        pieces: list[bytes] = []
-        counts = []
-        for text in texts:
-            found = _cut_at_word_ends(text.encode().lower()).replace(b"\n", b" ").split(b" ")
-            pieces += found
-            counts.append(len(found))
+        # All texts in one run of bytes. No UTF-8 text holds the byte of the end piece.
+        run = b"".join([part for text in texts for part in (text.encode(), b" ", _END, b" ")]).lower()
+        pieces = _cut_at_word_ends(run).replace(b"\n", b" ").split(b" ")
         known, used = len(self.number), len(self.flat)
         number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
         new, self.number.new = self.number.new, []
@@ -150,10 +149,10 @@ class _Encoder:
             for piece in new:
                 del self.number[piece]
             self.flat, self.begin, self.length = self.flat[:used], self.begin[:known], self.length[:known]
-        ends = upto[np.cumsum(counts) - 1]
-        return [np.append(p, np.uint32(END_ID)) for p in np.split(ids, ends[:-1])]
+        return np.split(ids, upto[number == self.end])[:-1]
 
 
+_END = b"\xff"
 _PLAIN = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", np.uint8))
 _BLANK = np.isin(np.arange(256), np.frombuffer(b" \n", np.uint8))
 

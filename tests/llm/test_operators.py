@@ -446,6 +446,19 @@ def test_clean_rows_stay(spark, odd):
     assert decontaminate.drop_contaminated(odd, items.filter("false")).count() == odd.count()
 
 
+def test_texts_of_a_block_are_cut_in_one_run(monkeypatch):
+    encoder, cuts = tokens._Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    cut = tokens._cut_at_word_ends
+    monkeypatch.setattr(tokens, "_cut_at_word_ends", lambda text: cuts.append(text) or cut(text))
+    odd_texts = ["", ".", "a.", ".b", "A b,c, d.\n", "\n", "é. Ü,", " ", "x<|ENDOFTEXT|> y.", "1.5, 2."]
+    runs = (odd_texts, odd_texts[::-1], odd_texts[:1], odd_texts)
+    for run in runs:
+        plain = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in run]
+        assert [c.tolist() for c in encoder.encode(run)] == plain
+    assert encoder.encode([]) == []
+    assert len(cuts) == len(runs) + 1
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_tokens(docs, tmp_path, planes):
     from tokenizers import Tokenizer
