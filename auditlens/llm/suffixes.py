@@ -1,10 +1,12 @@
 """Removal of passages that an earlier document holds, by sorted suffixes.
 
-Any 50-byte string holds an anchor: the place whose 20-byte gram has the least hash. Equal strings
-have equal anchors, so suffixes need to be sorted only next to others with the same anchor gram.
+Any 50-byte string has one anchor: the first place in it whose 20-byte gram has the least hash. Equal
+strings have equal anchors, so each suffix needs to be sorted only once, next to others with the same
+anchor gram.
 
-1. Anchors of all texts meet by the hash of their gram, with a hash of the bytes around. Where the
-   surroundings as a whole stand in an earlier document, all of them are removed.
+1. Anchors of all texts meet by the hash of their gram, with a hash of the bytes around, which are those
+   of the strings that have this anchor. Where the surroundings as a whole stand in an earlier document,
+   all of them are removed.
 2. Where a gram stands in different surroundings, the suffixes around it are sorted: by multikey
    quicksort to a shallow depth, and groups that are still equal there by blind tries. Suffixes
    equal over 50 bytes end in one leaf, and the least doc_id of the leaf stays.
@@ -41,11 +43,16 @@ AT_ONCE = 4096
 HOT_ROWS = 4096
 WIDTHS = (BEFORE + 1, 8, 1)
 
-_TAG_BITS = 40
+# A place holds, from its lowest bit: where the gram begins in its text, how many bytes before it the
+# surroundings begin, how many suffixes follow the one that begins there, and a tag of the text.
+_AT_BITS = 32
+_STEP_BITS = 5
+_MORE_BITS = _AT_BITS + _STEP_BITS
+_TAG_BITS = _MORE_BITS + _STEP_BITS
 
 
 def _anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all anchors: hash of the gram, hash of the surroundings, number of the text, place."""
+    """Of all anchors: hash of the gram, hash of the surroundings, number of the text, place without tag."""
     data, offsets = utf8(texts)
     n = len(data)
     if n < LENGTH:
@@ -53,18 +60,27 @@ def _anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     sums = prefix_sums(data)
     start = np.arange(n - GRAM + 1)
     grams = range_hash(sums, start, start + GRAM)
-    order = (grams >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    width = LENGTH - GRAM + 1
-    least = sliding(order, width, np.minimum)
+    low = np.uint64((1 << _AT_BITS) - 1)
+    least = sliding((grams & ~low) | start.astype(np.uint64), LENGTH - GRAM + 1, np.minimum) & low
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    least[start[: len(least)] + LENGTH > ends[: len(least)]] = 0
-    pad = np.zeros(width - 1, np.uint32)
-    highest = sliding(np.concatenate((pad, least, pad)), width, np.maximum)
-    place = np.flatnonzero(highest == order)
+    whole = np.flatnonzero(start[: len(least)] + LENGTH <= ends[: len(least)])
+    if not len(whole):
+        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+    anchor = least[whole].astype(np.int64)
+    begins = np.flatnonzero(_runs(anchor))
+    place, left, last = anchor[begins], whole[begins], whole[np.append(begins[1:], len(anchor)) - 1]
     text = np.searchsorted(offsets, place, side="right") - 1
-    left, right = np.maximum(place - BEFORE, offsets[text]), np.minimum(place + LENGTH, offsets[text + 1])
-    around = range_hash(sums, left, right) ^ (place - left).astype(np.uint64)
-    return grams[place], around, text, place - offsets[text]
+    around = range_hash(sums, left, last + LENGTH) ^ (place - left).astype(np.uint64)
+    steps = (place - left) << _AT_BITS | (last - left) << _MORE_BITS
+    return grams[place], around, text, place - offsets[text] | steps
+
+
+def _at(place: np.ndarray) -> np.ndarray:
+    return place & ((1 << _AT_BITS) - 1)
+
+
+def _before(place: np.ndarray) -> np.ndarray:
+    return place >> _AT_BITS & ((1 << _STEP_BITS) - 1)
 
 
 def _packed(*columns: np.ndarray) -> bytes:
@@ -332,8 +348,8 @@ class _Around:
         self.data, self.offsets = _bytes_of(table.column("around").combine_chunks())
         parted = "first" in table.column_names
         self.first = table.column("first").to_numpy().astype(np.int64) if parted else np.zeros(len(self.doc), np.int64)
-        self.at = self.place & ((1 << _TAG_BITS) - 1)
-        self.left = np.minimum(self.at, self._reach(self.first, width))
+        self.at = _at(self.place)
+        self.left = np.minimum(_before(self.place), self._reach(self.first, width))
         steps = np.arange(width)
         self.ahead = self.first[:, None] + steps
         left = self.left[:, None]
@@ -343,7 +359,7 @@ class _Around:
 
     @staticmethod
     def _reach(first: np.ndarray, width: int) -> np.ndarray:
-        """How far before an anchor the bytes of a row begin, if the text does not begin there."""
+        """How far before an anchor the bytes of a row begin, if its surroundings go so far."""
         return np.minimum(first + width - 1, BEFORE)
 
     def _suffixes(self, rows: np.ndarray, steps: np.ndarray) -> np.ndarray:
@@ -550,15 +566,12 @@ def removed_passages(docs: DataFrame) -> DataFrame:
     )
     fragments = fragments.repartition("bucket").sortWithinPartitions("bucket")
     met = settle(fragments.mapInArrow(_meet(HOT_ROWS), "gram long, hot boolean, doc_id long, place long"), "anchors")
-    met = met.withColumns(
-        {"tag": F.shiftright("place", _TAG_BITS), "at": F.col("place").bitwiseAND(F.lit((1 << _TAG_BITS) - 1))}
-    )
-    start = F.greatest(F.col("at") - BEFORE, F.lit(0))
-    whole = met.filter("gram IS NULL").select(
-        "doc_id", "tag", (start * 256 + F.col("at") + LENGTH - start).alias("span")
-    )
+    at = F.col("place").bitwiseAND(F.lit((1 << _AT_BITS) - 1))
+    before, more = (F.shiftright("place", bits).bitwiseAND(F.lit((1 << _STEP_BITS) - 1)) for bits in (_AT_BITS, _MORE_BITS))
+    met = met.withColumns({"tag": F.shiftright("place", _TAG_BITS), "start": at - before, "size": more + LENGTH})
+    whole = met.filter("gram IS NULL").select("doc_id", "tag", (F.col("start") * 256 + F.col("size")).alias("span"))
     by_id = known.repartition("doc_id")
-    around = F.substring(F.col("text").cast("binary"), start.cast("int") + 1, (F.col("at") + LENGTH - start).cast("int"))
+    around = F.substring(F.col("text").cast("binary"), F.col("start").cast("int") + 1, F.col("size").cast("int"))
 
     def with_around(rows: DataFrame) -> DataFrame:
         return rows.join(by_id, ["doc_id", "tag"]).select("group", "doc_id", "place", around.alias("around"))

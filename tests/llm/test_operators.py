@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -386,6 +387,16 @@ def test_passages_of_hot_grams(spark, monkeypatch, hot_rows):
     same([tuple(r) for r in suffixes.removed_passages(docs).drop("removed").collect()], expected)
 
 
+def test_each_suffix_has_one_anchor():
+    rng = np.random.default_rng(5)
+    texts = ["", "x" * 49, "x" * 300, *("".join(map(chr, rng.integers(97, 100, n))) for n in (50, 51, 400, 90))]
+    _, _, text, place = suffixes._anchors(pa.array(texts))
+    at, before, more = suffixes._at(place), suffixes._before(place), place >> suffixes._MORE_BITS
+    found = sorted((t, a - b + k) for t, a, b, m in zip(*(c.tolist() for c in (text, at, before, more))) for k in range(m + 1))
+    assert found == [(i, k) for i, t in enumerate(texts) for k in range(len(t) - 49)]
+    assert all(0 <= b <= 30 and b - m >= 0 for b, m in zip(before.tolist(), more.tolist()))
+
+
 def test_blind_trie_sorts():
     rng = np.random.default_rng(3)
     strings = [bytes(rng.integers(97, 100, 12).astype(np.uint8)) for _ in range(300)]
