@@ -496,8 +496,11 @@ def _spans(rows: DataFrame, hot: DataFrame) -> DataFrame:
     """Rows (doc_id, tag, span) of suffixes that a lesser document of their group has.
 
     Both frames hold rows (group, doc_id, place, around); groups of `hot` are too large for one task.
-    All is one plan, so that texts are shuffled once. Parts are dealt out by group and document: their
-    counts and both joins read them from there, and no large group comes together.
+    All is one plan, so that texts are shuffled once. Parts are dealt out by group and document, once:
+    their counts and both joins read them from there, and no large group comes together. For that the
+    joins broadcast the large groups, at most one for HOT_ROWS parts. They are neither semi nor anti
+    joins and compare null-safely: Spark moves those, and a filter for nulls, below the shuffle, and
+    then makes the parts anew for each.
     """
     found = [_compared(rows, WIDTHS[0])]
     for width, narrower in zip(WIDTHS, WIDTHS[1:]):
@@ -505,9 +508,10 @@ def _spans(rows: DataFrame, hot: DataFrame) -> DataFrame:
         if narrower > 1:
             parts = parts.repartition("group", "doc_id")
             counts = parts.mapInArrow(_counted, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
-            large = counts.filter(F.col("n") > HOT_ROWS).select("group")
-            hot = parts.join(large, "group", "left_semi")
-            parts = parts.join(large, "group", "left_anti")
+            large = F.broadcast(counts.filter(F.col("n") > HOT_ROWS).select(F.col("group").alias("large")))
+            is_large = F.col("group").eqNullSafe(F.col("large"))
+            hot = parts.join(large, is_large).drop("large")
+            parts = parts.join(large, is_large, "left").filter("large IS NULL").drop("large")
         found.append(_compared(parts, narrower))
     return reduce(DataFrame.unionByName, found)
 

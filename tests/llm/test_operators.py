@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -387,6 +388,35 @@ def test_passages_of_hot_grams(spark, monkeypatch, hot_rows):
     same([tuple(r) for r in suffixes.removed_passages(docs).drop("removed").collect()], expected)
 
 
+def test_hot_grams_are_parted_once(spark, monkeypatch, tmp_path):
+    """The parts of a hot gram are counted, parted again and compared, but made once."""
+    rng = np.random.default_rng(6)
+    some = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    passage = some(75)
+    rows = [(i, some(40) + passage + some(60)) for i in range(60)]
+    monkeypatch.setattr(suffixes, "HOT_ROWS", 5)
+    part = suffixes._part
+
+    def written(width, narrower):
+        run = part(width, narrower)
+
+        def noted(batches):
+            for batch in run(batches):
+                if width == suffixes.WIDTHS[0]:
+                    open_rows = batch.filter(batch.column("span").is_null())
+                    lines = zip(*(open_rows.column(c).to_pylist() for c in ("doc_id", "place", "first")))
+                    with open(tmp_path / uuid.uuid4().hex, "w") as file:
+                        file.writelines(f"{line}\n" for line in lines)
+                yield batch
+
+        return noted
+
+    monkeypatch.setattr(suffixes, "_part", written)
+    suffixes.removed_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    made = [line for file in tmp_path.iterdir() for line in file.read_text().splitlines()]
+    assert made and len(made) == len(set(made))
+
+
 def test_each_suffix_has_one_anchor():
     rng = np.random.default_rng(5)
     texts = ["", "x" * 49, "x" * 300, *("".join(map(chr, rng.integers(97, 100, n))) for n in (50, 51, 400, 90))]
