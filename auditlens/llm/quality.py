@@ -36,8 +36,8 @@ MIN_ROWS = 10 * DIMENSIONS
 
 _X = [f"x{i}" for i in range(DIMENSIONS)]
 _PAIRS = list(combinations_with_replacement(range(DIMENSIONS), 2))
-# The last column follows from the others: whether the group is hot.
-_GROUP = ["group_lang", "group_source", "hot"]
+# The last column follows from the others: to how many parts the rows of the group are dealt.
+_GROUP = ["group_lang", "group_source", "parts"]
 _PAIR = ["lang_name", "source_name"]
 
 
@@ -145,10 +145,24 @@ def _join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], hot: str,
     return met.select(*rows.columns, *(F.col("__met").getField(v).alias(v) for v in values))
 
 
+def _join_dealt(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Join with a table of groups in one step, so that no task gets all rows of one.
+
+    Rows are dealt to the parts of their group by their hash `__spread`, and each part meets a copy of
+    the group's row. All groups together have at most `shuffle partitions` copies more than rows.
+    """
+    copies = table.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = rows.withColumn("__part", F.pmod("__spread", "parts"))
+    return dealt.join(copies, [*_GROUP, "__part"], how).select(
+        *rows.columns, *(c for c in table.columns if c not in _GROUP)
+    )
+
+
 def _pooled_groups(rows: DataFrame) -> DataFrame:
-    """Rows (lang_name, source_name, hot_pair, group_lang, group_source, hot): the group of each pair.
+    """Rows (lang_name, source_name, hot_pair, group_lang, group_source, parts): the group of each pair.
 
-    Sizes of groups are those of the rows that count, a pair is hot by all its rows.
+    Sizes of groups are those of the rows that count, a pair is hot by all its rows. The rows of a
+    group that holds more than one in `shuffle partitions` of all are dealt to parts of that size.
     """
     partitions = shuffle_partitions(rows.sparkSession)
     pairs = rows.groupBy(*_PAIR).agg(F.count_if(~F.col("base_failed")).alias("n"), F.count("*").alias("all"))
@@ -167,10 +181,11 @@ def _pooled_groups(rows: DataFrame) -> DataFrame:
     total = pairs.agg(F.sum("all")).first()[0] or 0
     is_hot = F.col("all") * partitions > total
     sizes = pairs.groupBy("group_lang", "group_source").agg(F.sum("all").alias("all"))
-    hot = sizes.filter(is_hot).select("group_lang", "group_source", F.lit(True).alias("hot"))
+    share = F.ceil(F.col("all") * partitions / F.lit(total))
+    hot = sizes.filter(is_hot).select("group_lang", "group_source", share.alias("parts"))
     groups = pairs.join(F.broadcast(hot), ["group_lang", "group_source"], "left")
     return settle(
-        groups.select(*_PAIR, is_hot.alias("hot_pair"), *_GROUP[:2], F.coalesce("hot", F.lit(False)).alias("hot")),
+        groups.select(*_PAIR, is_hot.alias("hot_pair"), *_GROUP[:2], F.coalesce("parts", F.lit(1)).alias("parts")),
         "quality-groups",
     )
 
@@ -205,22 +220,20 @@ def _concentrated(scored: DataFrame, name: str) -> DataFrame:
     """Center and Cholesky factor of the closest share of each (group, start).
 
     Rows are added up by bins of their distance, with all products, so one pass gives both the
-    bound of the share and its moments. The bin that the share ends in is taken whole.
+    bound of the share and its moments. The bin that the share ends in is taken whole. The driver
+    keeps the plan of each step, so running sums are made of the counts only and the factor takes
+    one projection a column.
     """
     by = [*_GROUP, "start"]
+    names = ["n", *(f"s_{x}" for x in _X), *(f"p_{i}_{j}" for i, j in _PAIRS)]
     sums = [F.count("*").alias("n"), *(F.sum(x).alias(f"s_{x}") for x in _X)]
     sums += [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"p_{i}_{j}") for i, j in _PAIRS]
     bins = scored.groupBy(*by, F.floor(16 * F.log2(1 + F.col("distance"))).alias("bin")).agg(*sums)
-    upto = Window.partitionBy(*by).orderBy("bin")
-    names = ["n", *(f"s_{x}" for x in _X), *(f"p_{i}_{j}" for i, j in _PAIRS)]
-    bins = bins.select(
-        *by,
-        "bin",
-        F.sum("n").over(Window.partitionBy(*by)).alias("total"),
-        *(F.sum(c).over(upto).alias(c) for c in names),
-    )
-    enough = bins.filter(F.col("n") >= KEPT_SHARE * F.col("total"))
-    inner = enough.groupBy(*by).agg(F.min(F.struct("bin", "total", *names)).alias("m")).select(*by, "m.*")
+    group = Window.partitionBy(*by)
+    before = F.sum("n").over(group.orderBy("bin")) - F.col("n")
+    bins = bins.withColumns({"total": F.sum("n").over(group), "before": before})
+    inner = bins.filter(F.col("before") < KEPT_SHARE * F.col("total")).groupBy(*by)
+    inner = inner.agg(F.max("total").alias("total"), *(F.sum(c).alias(c) for c in names))
     inner = inner.withColumns({f"m_{x}": F.col(f"s_{x}") / F.col("n") / GRID for x in _X})
     scatter = {}
     for i, j in _PAIRS:
@@ -229,12 +242,15 @@ def _concentrated(scored: DataFrame, name: str) -> DataFrame:
         scatter[f"c_{i}_{j}"] = F.greatest(c, F.lit(0.0)) + LEAST_SPREAD[i] ** 2 if i == j else c
     inner = inner.withColumns(scatter)
     for j in range(DIMENSIONS):
+        column = {}
         for i in range(j, DIMENSIONS):
             rest = F.col(f"c_{j}_{i}")
             for k in range(j):
                 rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            entry = F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l_{j}_{j}")
-            inner = inner.withColumn(f"l_{i}_{j}", entry)
+            if i == j:
+                diagonal = F.sqrt(F.greatest(rest, F.lit(1e-12)))
+            column[f"l_{i}_{j}"] = diagonal if i == j else rest / diagonal
+        inner = inner.withColumns(column)
     log_det = sum((F.log(F.col(f"l_{i}_{i}")) for i in range(1, DIMENSIONS)), F.log(F.col("l_0_0")))
     factors = [f"l_{i}_{j}" for i in range(DIMENSIONS) for j in range(i + 1)]
     out = inner.select(*by, "total", *(f"m_{x}" for x in _X), *factors, log_det.alias("log_det"))
@@ -243,7 +259,7 @@ def _concentrated(scored: DataFrame, name: str) -> DataFrame:
 
 def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the squared Mahalanobis distance of each row, by forward substitution."""
-    joined = _join_hot(rows, estimates, _GROUP, "hot", how)
+    joined = _join_dealt(rows, estimates, how)
     for i in range(DIMENSIONS):
         y = F.col(_X[i]) / GRID - F.col(f"m_{_X[i]}")
         for k in range(i):
@@ -261,10 +277,10 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     lower the determinant.
     """
     median = _median_by_group(vectors, "median")
-    centered = _join_hot(vectors, median, _GROUP, "hot")
+    centered = _join_dealt(vectors, median)
     deviation = centered.select(*_GROUP, *(F.abs(F.col(x) - F.col(f"median_{x}")).alias(x) for x in _X))
     spread = _median_by_group(deviation, "spread")
-    joined = _join_hot(centered, spread, _GROUP, "hot")
+    joined = _join_dealt(centered, spread)
     z = [
         F.abs(F.col(x) - F.col(f"median_{x}")) / F.greatest(1.4826 * F.col(f"spread_{x}"), F.lit(least * GRID))
         for x, least in zip(_X, LEAST_SPREAD)

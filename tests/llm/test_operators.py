@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -191,6 +192,61 @@ def test_hot_keys_join_like_others(spark, partitions):
         same([tuple(r) for r in found.select("key", "__spread", "n").collect()], [tuple(r) for r in plain.select("key", "__spread", "n").collect()])
 
 
+@pytest.mark.parametrize("partitions", [1, 8, 1000])
+def test_groups_are_dealt_in_parts(spark, partitions):
+    """However many parts a group has, the rows are those of a plain join, found by one join."""
+    named = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40))
+    rows = spark.range(600).select(
+        named.alias("group_lang"), F.lit("s").alias("group_source"), F.hash("id").cast("long").alias("__spread"), "id"
+    )
+    table = rows.groupBy("group_lang", "group_source").agg(F.count("*").alias("n"))
+    table = table.withColumn("parts", F.ceil(F.col("n") * partitions / 600))
+    rows = rows.join(table.drop("n"), ["group_lang", "group_source"])
+    table = table.filter("group_lang <> 'k9'")
+    for how in ("inner", "left"):
+        found = quality._join_dealt(rows, table, how)
+        assert found.columns == [*rows.columns, "n"]
+        plain = rows.join(table.drop("parts"), ["group_lang", "group_source"], how)
+        same([(r.id, r.n) for r in found.collect()], [(r.id, r.n) for r in plain.collect()])
+
+
+def test_concentration_step(spark, monkeypatch):
+    """Center and scatter of the bins that hold three quarters of a group, by a small plan."""
+    rng = np.random.default_rng(3)
+    groups = {("a", 0): 400, ("a", 1): 50, ("b", 0): 7, ("b", 1): 1}
+    rows = []
+    for (lang, start), n in groups.items():
+        x = rng.integers(-3000, 3000, (n, quality.DIMENSIONS)).tolist()
+        distance = rng.exponential(20, n).round(1).tolist()
+        rows += [(lang, "s", 1, start, d, *v) for v, d in zip(x, distance)]
+    names = [*quality._GROUP, "start", "distance", *quality._X]
+    scored = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(names, ["string"] * 2 + ["long", "int", "double"] + ["long"] * 4)))
+    settled = []
+    monkeypatch.setattr(quality, "settle", lambda df, name: settled.append(df) or df)
+    found = {(r.group_lang, r.start): r for r in quality._concentrated(scored, "step").collect()}
+    assert found.keys() == groups.keys()
+    for (lang, start), n in groups.items():
+        own = [r for r in rows if (r[0], r[3]) == (lang, start)]
+        bins = np.array([math.floor(16 * math.log2(1 + r[4])) for r in own])
+        last = min(b for b in bins if (bins <= b).sum() >= quality.KEPT_SHARE * n)
+        inner = np.array([r[5:] for r in own], float)[bins <= last] / quality.GRID
+        scatter = (inner.T @ inner / len(inner) - np.outer(inner.mean(0), inner.mean(0))) * quality._consistency()
+        scatter += np.diag(np.square(quality.LEAST_SPREAD))
+        r = found[lang, start]
+        factor = np.zeros((quality.DIMENSIONS, quality.DIMENSIONS))
+        for i in range(quality.DIMENSIONS):
+            factor[i, : i + 1] = [r[f"l_{i}_{j}"] for j in range(i + 1)]
+        assert r.total == n
+        assert np.allclose([r[f"m_{x}"] for x in quality._X], inner.mean(0))
+        assert np.allclose(factor @ factor.T, scatter, atol=1e-9)
+        assert math.isclose(r.log_det, np.log(np.diag(factor)).sum())
+    plan = settled[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("windowspecdefinition") == 2
+    joined = quality._with_distance(scored.drop("start", "distance").withColumn("__spread", F.hash("x0").cast("long")), settled[0])
+    joins = re.findall(r"\bJoin \w+", joined._jdf.queryExecution().optimizedPlan().toString())
+    assert len(joins) == 1
+
+
 def test_good_rows_keep_their_columns(odd):
     kept = quality.keep_good(odd)
     assert kept.columns == odd.columns and kept.filter("doc_id = 7").count() == 1 and kept.filter("doc_id = 2").count() == 0
